@@ -1,7 +1,8 @@
 """Measures out of the raw text a probe prints. Column -> Column, no shuffle.
 
 Each result is what the probe would have delivered as text, already parsed: a
-dump that does not hold exactly one value gives NULL.
+dump that does not hold exactly one value gives NULL. Lines are found by one
+regular expression over the whole dump, which stays in generated code.
 """
 
 from __future__ import annotations
@@ -11,61 +12,57 @@ from pyspark.sql import functions as F
 
 from opsmetrics.functions.numbers import round_significant, to_number
 
+# Two lines, then the second blank-separated field of the third.
+THIRD_LINE_FIELD = r"\A(?:[^\n]*\n){2}[ \t]*\S+[ \t]+(\S+)"
 
-def _lines(text: Column) -> Column:
-    return F.split(text, r"\r?\n", -1)
 
+def _labelled(label: str) -> str:
+    """A line holding `label` anywhere; captures the digits of its second field."""
+    return rf"(?m)^(?=.*{label})[ \t]*\S+(?:[ \t]+(\d*))?"
 
-def _field(line: Column, number: int) -> Column:
-    """The n-th blank-separated field of a line, NULL if there are fewer."""
-    return F.try_element_at(F.split(F.ltrim(line), r"[ \t]+", -1), F.lit(number))
 
+def _all(text: Column, pattern: str, group: int) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
-def _kilobytes(text: Column, label: str) -> Column:
-    """All values behind `label`, as numbers, in line order."""
-    labelled = F.filter(_lines(text), lambda line: line.contains(label))
-    return F.transform(labelled, lambda line: to_number(_field(line, 2)))
+
+def _nth(values: Column, number: int) -> Column:
+    return F.try_element_at(values, F.lit(number))
 
 
 def cpu_percent(process_table: Column) -> Column:
     """Second field of the third line: the user share of CPU time. A number
     glued to its label (`100.0us,`) leaves no number and gives NULL."""
-    third = F.try_element_at(_lines(process_table), F.lit(3))
-    return to_number(_field(third, 2))
+    return to_number(F.regexp_extract(process_table, THIRD_LINE_FIELD, 1))
 
 
-def total_memory_gb(memory_info: Column) -> Column:
-    """`MemTotal` kB in GB, as printed with six significant digits."""
-    found = _kilobytes(memory_info, "MemTotal")
-    return F.when(
-        F.size(found) == 1,
-        round_significant(F.coalesce(F.try_element_at(found, F.lit(1)), F.lit(0.0)) / 1024 / 1024),
+def memory_kb(memory_info: Column, label: str) -> Column:
+    """The kB values behind `label`, in line order; no digits count as 0."""
+    return F.transform(
+        _all(memory_info, _labelled(label), 1),
+        lambda digits: F.coalesce(digits.try_cast("double"), F.lit(0.0)),
     )
 
 
-def used_memory_gb(memory_info: Column) -> Column:
-    """`MemTotal` - `MemAvailable` in GB; a missing counter counts as 0, the
-    last one wins."""
-
-    def last(label: str) -> Column:
-        found = F.try_element_at(_kilobytes(memory_info, label), F.lit(-1))
-        return F.coalesce(found, F.lit(0.0))
-
-    used = (last("MemTotal") - last("MemAvailable")) / 1024 / 1024
-    return F.when(memory_info.isNotNull(), round_significant(used))
+def total_memory_gb(total_kb: Column) -> Column:
+    """GB of the one `MemTotal` value, as printed with six significant digits."""
+    return F.when(F.size(total_kb) == 1, round_significant(_nth(total_kb, 1) / 1024 / 1024))
 
 
-def _disk_gb(listing: Column, field: int) -> Column:
-    totals = F.filter(_lines(listing), lambda line: line.contains("total"))
-    value = F.regexp_replace(_field(F.try_element_at(totals, F.lit(1)), field), "G", "")
-    return F.when(F.size(totals) == 1, to_number(value))
+def used_memory_gb(total_kb: Column, available_kb: Column) -> Column:
+    """Total - available in GB; a missing counter counts as 0, the last wins."""
+    total, available = [
+        F.coalesce(_nth(values, -1), F.lit(0.0)) for values in (total_kb, available_kb)
+    ]
+    return F.when(total_kb.isNotNull(), round_significant((total - available) / 1024 / 1024))
 
 
-def total_disk_gb(listing: Column) -> Column:
-    """Size on the one line of a filesystem listing that holds `total`."""
-    return _disk_gb(listing, 2)
+def total_fields(listing: Column) -> Column:
+    """The blank-separated fields of the one line of a filesystem listing that
+    holds `total`; NULL if there is none or more than one."""
+    lines = _all(listing, r"(?m)^.*total.*$", 0)
+    return F.when(F.size(lines) == 1, F.split(F.ltrim(_nth(lines, 1)), r"[ \t]+", -1))
 
 
-def used_disk_gb(listing: Column) -> Column:
-    """Used space on the one line of a filesystem listing that holds `total`."""
-    return _disk_gb(listing, 3)
+def disk_gb(fields: Column, number: int) -> Column:
+    """A size in whole GB out of such fields, its unit letter removed."""
+    return to_number(F.replace(_nth(fields, number), F.lit("G"), F.lit("")))

@@ -24,19 +24,28 @@ def status_grid(
     """Long grid (key, `date`, value): one row per key and day that has a row.
 
     Several rows in one cell: "error" fails the query, "latest" takes the value
-    with the greatest time, then `tiebreak`. A missing state shows as N/A.
+    with the greatest time, then `tiebreak`, then value. A missing state shows
+    as N/A. Each map task sends one row per cell, however many polls it holds.
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError("on_duplicate must be 'error' or 'latest'")
-    cells = df.select(key, day_text(F.col(ts)).alias("date"), ts, value, *tiebreak)
-    order = F.struct(ts, *tiebreak) if tiebreak else F.col(ts)
-    state = F.max_by(value, order)
+    day = F.to_date(ts).alias("_day")
+    cells = df.groupBy(F.col(key), day).agg(
+        F.max(F.struct(F.col(ts), *tiebreak, F.col(value).alias("_state"))).alias("_latest"),
+        *([F.count(F.lit(1)).alias("_rows")] if on_duplicate == "error" else []),
+    )
+    state = F.col("_latest._state")
     if on_duplicate == "error":
         message = F.concat(
-            F.lit("more than one row for "), F.col(key), F.lit(" on "), F.col("date")
+            F.lit("more than one row for "), F.col(key).cast("string"),
+            F.lit(" on "), day_text(F.col("_day")),
         )
-        state = F.when(F.count(F.lit(1)) > 1, F.raise_error(message)).otherwise(state)
-    return cells.groupBy(key, "date").agg(F.coalesce(state, F.lit(MISSING)).alias(value))
+        state = F.when(F.col("_rows") > 1, F.raise_error(message)).otherwise(state)
+    return cells.select(
+        key,
+        day_text(F.col("_day")).alias("date"),
+        F.coalesce(state, F.lit(MISSING)).alias(value),
+    )
 
 
 def grid_dates(df: DataFrame, ts: str) -> list[str]:
@@ -46,8 +55,8 @@ def grid_dates(df: DataFrame, ts: str) -> list[str]:
     bound Spark itself sets on pivot columns; beyond it this raises.
     """
     bound = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    days = df.select(day_text(F.col(ts)).alias("date")).dropna().distinct()
-    found = [row["date"] for row in days.limit(bound + 1).collect()]
+    days = df.select(F.to_date(ts).alias("_day")).distinct().filter(F.col("_day").isNotNull())
+    found = [r[0] for r in days.select(day_text(F.col("_day"))).limit(bound + 1).collect()]
     if len(found) > bound:
         raise ValueError(f"the grid has more than {bound} days")
     return sorted(found)

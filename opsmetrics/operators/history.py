@@ -49,17 +49,19 @@ def latest_per_key(
 ) -> DataFrame:
     """The row with the greatest `ts` per key; rows without key or time drop out.
 
-    Equal times are settled by the greatest `tiebreak`. One row per key leaves
-    each map task, so a key holding most of the rows shuffles no more than any
-    other.
+    Equal times are settled by the greatest `tiebreak`, then by the other
+    columns. One row per key leaves each map task, so a key holding most of the
+    rows shuffles no more than any other. The row travels once, as its own
+    sort key: `max_by` would carry its time and tie-break twice.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(ts, *tiebreak) if tiebreak else F.col(ts)
+    order = [ts, *tiebreak]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    for name in [*keys, ts]:
+        df = df.filter(F.col(name).isNotNull())
     return (
-        df.dropna(subset=[*keys, ts])
-        .groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), order).alias("_latest"))
+        df.groupBy(*keys)
+        .agg(F.max(F.struct(*order, *rest)).alias("_latest"))
         .select(*keys, "_latest.*")
         .select(*df.columns)
     )

@@ -43,7 +43,8 @@ def assign_group(
     groups = F.array(
         *[F.when(F.col(key).rlike(p), F.lit(g)) for g, p in patterns.items()]
     )
-    return listed.withColumn("group_name", F.explode(F.array_compact(groups)))
+    matches = listed.withColumn("group_name", F.explode(groups))
+    return matches.filter(F.col("group_name").isNotNull())
 
 
 def display_names(df: DataFrame, mapping: Mapping[str, str] = DISPLAY_NAMES) -> DataFrame:

@@ -66,9 +66,13 @@ def scan_report(
             )
         ),
     )
-    scanned = df.select(report_id, state.alias("_state")).select(report_id, "_state.*")
-    complete = scanned.filter(_has_digits(F.col("used"), F.col("remaining")))
-    return _byte_counts(complete, report_id)
+    # Generated as a list of at most one state: Spark evaluates a generator
+    # once per row, whereas a filter on the state would be pushed down and
+    # repeat the scan.
+    complete = F.filter(
+        F.array(state), lambda seen: _has_digits(seen["used"], seen["remaining"])
+    )
+    return _byte_counts(df.select(report_id, F.inline(complete)), report_id)
 
 
 def scan_report_lines(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from opsmetrics.schemas import RECORD_DATE, STATUS_HISTORY
@@ -22,21 +22,23 @@ REPORT_NAME_FORMAT = "%Y-%m-%d_%H-%M-%S"
 def _append(df: DataFrame, target: Target, ts: str, rebalance: bool) -> int:
     """Append with a date partition and return the number of rows written.
 
-    The rows are counted while they are written. An empty batch writes no
-    data file, so no check has to run the query a second time.
+    The rows are counted while they are written, in the writing stage itself,
+    where a repeated task counts once. An empty batch writes no data file, so
+    no check has to run the query a second time.
     """
     counted = Observation("rows")
-    df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows = F.count(F.lit(1)).alias("rows")
     if not isinstance(target, str):
-        df.write.format("jdbc").options(**target).mode("append").save()
+        df.observe(counted, rows).write.format("jdbc").options(**target).mode("append").save()
         return counted.get["rows"]
     df = df.withColumn(RECORD_DATE, F.to_date(ts))
     if rebalance:
         df = df.hint("rebalance", F.col(RECORD_DATE))
+    writer = df.observe(counted, rows).write.mode("append").partitionBy(RECORD_DATE)
     if "/" in target:
-        df.write.mode("append").partitionBy(RECORD_DATE).parquet(target)
+        writer.parquet(target)
     else:
-        df.write.mode("append").partitionBy(RECORD_DATE).format("parquet").saveAsTable(target)
+        writer.format("parquet").saveAsTable(target)
     return counted.get["rows"]
 
 
@@ -62,7 +64,7 @@ def require_values(df: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def create_status_table(spark, table: str) -> None:
+def create_status_table(spark: SparkSession, table: str) -> None:
     """Create the status table, if absent, with its NOT NULL columns."""
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()} NOT NULL" for f in STATUS_HISTORY

@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsmetrics.functions import dumps
 from opsmetrics.functions.numbers import (
     INFINITY,
     bytes_to_tb,
@@ -19,6 +18,7 @@ from opsmetrics.functions.times import day_text, minute_text, parse_day_first, p
 from opsmetrics.operators.history import latest_per_key, recent
 from opsmetrics.operators.hosts import assign_group
 from opsmetrics.operators.levels import classify_levels
+from opsmetrics.operators.probes import parse_probe_dumps
 from opsmetrics.plans.reports import host_metrics, host_report, snapshot_report
 from opsmetrics.sinks.tables import append_metrics
 from opsmetrics.sources.files import read_probe_samples, read_snapshot_sheets
@@ -147,14 +147,7 @@ def probe_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("total "), size, F.lit("G "), taken, F.lit("G 1G 1% -"), second_total,
         ).alias("listing"),
     )
-    return texts.select(
-        "o_orderkey",
-        dumps.cpu_percent(F.col("process_table")).alias("cpu_usage_percent"),
-        dumps.total_memory_gb(F.col("memory_info")).alias("total_ram_gb"),
-        dumps.used_memory_gb(F.col("memory_info")).alias("used_ram_gb"),
-        dumps.total_disk_gb(F.col("listing")).alias("total_disk_gb"),
-        dumps.used_disk_gb(F.col("listing")).alias("used_disk_gb"),
-    )
+    return parse_probe_dumps(texts, "process_table", "memory_info", "listing")
 
 
 PROBE_DUMPS_SQL = """

@@ -1,0 +1,40 @@
+from datetime import datetime
+
+import pytest
+
+from opsmetrics.sources.tables import read_metric_history, read_status_history
+from opsmetrics.streaming.ingest import collect_metrics, collect_statuses
+from tests.rows import values
+from tests.test_sources_and_sinks import SAMPLES, land_documents, land_samples
+
+
+def test_metrics_arrive_once(spark, tmp_path):
+    landing, target, progress = (str(tmp_path / n) for n in ("in", "history", "progress"))
+    land_samples(landing)
+    for _ in range(2):  # the second run finds nothing new
+        collect_metrics(spark, landing, target, progress).awaitTermination()
+        assert read_metric_history(spark, target).count() == len(SAMPLES)
+    land_samples(landing, SAMPLES[:3], "b.json")
+    collect_metrics(spark, landing, target, progress).awaitTermination()
+    history = read_metric_history(spark, target)
+    assert history.count() == len(SAMPLES) + 3
+    got = values(history.dropDuplicates(["server_name"]), "server_name", "used_disk_percent")
+    assert got == sorted([(s[0], s[7]) for s in SAMPLES], key=repr)
+    stamps = {r[0] for r in history.select("datetime_record").distinct().collect()}
+    assert len(stamps) == 2 and all(isinstance(s, datetime) for s in stamps)
+
+
+def test_statuses_arrive_once(spark, tmp_path):
+    landing, target, progress = (str(tmp_path / n) for n in ("in", "history", "progress"))
+    land_documents(landing)
+    for _ in range(2):
+        collect_statuses(spark, landing, target, progress).awaitTermination()
+    history = read_status_history(spark, target)
+    assert values(history, "service_name", "health_status") == [("hive", "GOOD"), ("yarn", "BAD")]
+
+
+def test_incomplete_status_stops_the_run(spark, tmp_path):
+    landing, target, progress = (str(tmp_path / n) for n in ("in", "history", "progress"))
+    land_documents(landing, [{"items": [{"displayName": "hive"}]}])
+    with pytest.raises(Exception, match="is missing"):
+        collect_statuses(spark, landing, target, progress).awaitTermination()
