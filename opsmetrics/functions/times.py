@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+DAY_FIRST = r"\A(\d{1,2})-(\d{1,2})-(\d{4}) (\d{1,2}):(\d{1,2})\z"
+
 
 def as_of_column(as_of: datetime | Column | None, naive: bool) -> Column:
     """The report instant as a constant, so that filters on it reach the scan.
@@ -34,8 +36,13 @@ def is_naive(df: DataFrame, column: str) -> bool:
 
 def parse_day_first(text: Column) -> Column:
     """`d-M-yyyy H:m` text -> TIMESTAMP_NTZ; text that does not match is NULL.
-    Leading zeros are optional, as the day-first input has both spellings."""
-    return F.try_to_timestamp(text, F.lit("d-M-yyyy H:m")).cast("timestamp_ntz")
+
+    Leading zeros are optional, as the day-first input has both spellings. The
+    text is put in ISO order and cast, so no time zone and none of its clock
+    changes are involved.
+    """
+    iso = F.regexp_replace(text, DAY_FIRST, "$3-$2-$1 $4:$5")
+    return F.when(text.rlike(DAY_FIRST), iso.try_cast("timestamp_ntz"))
 
 
 def pin_report_hour(ts: Column, hour: int = 8) -> Column:

@@ -65,11 +65,12 @@ def grid_dates(df: DataFrame, ts: str) -> list[str]:
 def wide_grid(
     long_grid: DataFrame, key: str, value: str, dates: Sequence[str]
 ) -> DataFrame:
-    """One row per key, one column per day; absent cells become N/A."""
+    """One row per key, one column per day, keys ascending; absent cells become
+    N/A."""
     if not dates:
-        return long_grid.select(key).distinct()
+        return long_grid.select(key).distinct().orderBy(key)
     wide = long_grid.groupBy(key).pivot("date", list(dates)).agg(F.first(value))
-    return wide.fillna(MISSING, subset=list(dates))
+    return wide.fillna(MISSING, subset=list(dates)).orderBy(key)
 
 
 def to_cells(df: DataFrame, row_key: str, value_columns: Sequence[str]) -> DataFrame:

@@ -1,11 +1,13 @@
-"""Raw probe dumps -> the five measures of a probe sample."""
+"""Probe samples: out of raw dumps, and complete for a list of hosts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opsmetrics.fixed_values import UNREACHABLE_CPU, UNREACHABLE_OTHER
 from opsmetrics.functions import dumps
+from opsmetrics.schemas import MEASURES, PROBE_SAMPLE
 
 
 def parse_probe_dumps(
@@ -33,3 +35,18 @@ def parse_probe_dumps(
         measures["used_disk_gb"] = dumps.disk_gb(F.col("_fields"), 3)
     texts = [c for c in (process_table, memory_info, listing) if c]
     return df.withColumns(found).withColumns(measures).drop(*texts, *found)
+
+
+def with_unreachable(samples: DataFrame, hosts: DataFrame) -> DataFrame:
+    """The samples, and a row of words for each of the `hosts` (server_name,
+    ip) without one, as the probe delivers for a host that is down.
+
+    The samples are not joined themselves: their names are made distinct in
+    the map tasks first, so a host with many samples costs nothing extra.
+    """
+    names = PROBE_SAMPLE.fieldNames()
+    answered = samples.select("server_name").distinct()
+    words = {m: F.lit(UNREACHABLE_OTHER) for m in MEASURES}
+    words["cpu_usage_percent"] = F.lit(UNREACHABLE_CPU)
+    silent = hosts.join(answered, "server_name", "left_anti").withColumns(words)
+    return samples.select(*names).unionByName(silent.select(*names))

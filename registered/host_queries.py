@@ -18,8 +18,9 @@ from opsmetrics.functions.times import day_text, minute_text, parse_day_first, p
 from opsmetrics.operators.history import latest_per_key, recent
 from opsmetrics.operators.hosts import assign_group
 from opsmetrics.operators.levels import classify_levels
-from opsmetrics.operators.probes import parse_probe_dumps
+from opsmetrics.operators.probes import parse_probe_dumps, with_unreachable
 from opsmetrics.plans.reports import host_metrics, host_report, snapshot_report
+from opsmetrics.schemas import MEASURES
 from opsmetrics.sinks.tables import append_metrics
 from opsmetrics.sources.files import read_probe_samples, read_snapshot_sheets
 from opsmetrics.sources.tables import read_metric_history
@@ -428,6 +429,46 @@ SELECT *, '2024-02-01 08:00' AS minute, '2024-02-01' AS day FROM ({MEASURED_SQL}
 """
 
 
+def unreachable_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as hosts, their pending orders as samples: a customer without
+    one counts as unreachable."""
+    text = F.col("o_totalprice").cast("string")
+    samples = (
+        table(spark, sf_dir, "orders")
+        .filter(F.col("o_orderstatus") == "P")
+        .select(
+            F.concat(F.lit("host-"), "o_custkey").alias("server_name"),
+            F.lit("192.0.2.1").alias("ip"),
+            F.col("o_orderkey").cast("string").alias("cpu_usage_percent"),
+            *[text.alias(m) for m in MEASURES[1:]],
+        )
+    )
+    hosts = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("host-"), "c_custkey").alias("server_name"), F.lit("192.0.2.1").alias("ip")
+    )
+    rows = host_metrics(with_unreachable(samples, hosts), datetime(2024, 2, 1, 8, 0))
+    return rows.select("server_name", *MEASURES, "used_ram_percent", "used_disk_percent")
+
+
+UNREACHABLE_HOSTS_SQL = """
+WITH samples AS (
+    SELECT 'host-' || o_custkey AS server_name, o_orderkey, o_totalprice
+    FROM orders WHERE o_orderstatus = 'P'
+), probed AS (
+    SELECT * FROM samples
+    UNION ALL
+    SELECT 'host-' || c_custkey, NULL, NULL FROM customer
+    WHERE 'host-' || c_custkey NOT IN (SELECT server_name FROM samples)
+)
+SELECT server_name, o_orderkey::DOUBLE AS cpu_usage_percent,
+       o_totalprice AS total_ram_gb, o_totalprice AS used_ram_gb,
+       o_totalprice AS total_disk_gb, o_totalprice AS used_disk_gb,
+       CASE WHEN o_totalprice > 0 THEN 100 ELSE 0 END::DOUBLE AS used_ram_percent,
+       CASE WHEN o_totalprice > 0 THEN 100 ELSE 0 END::DOUBLE AS used_disk_percent
+FROM probed
+"""
+
+
 def streamed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`collected_metrics` as a stream over the landing folder. Its time is the
     time of the run and left out."""
@@ -456,5 +497,6 @@ QUERIES = {
     "host_state_report": (host_state_report, HOST_STATE_REPORT_SQL),
     "latest_sheets": (latest_sheets, LATEST_SHEETS_SQL),
     "collected_metrics": (collected_metrics, COLLECTED_METRICS_SQL),
+    "unreachable_hosts": (unreachable_hosts, UNREACHABLE_HOSTS_SQL),
     "streamed_metrics": (streamed_metrics, MEASURED_SQL),
 }

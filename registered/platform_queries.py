@@ -18,7 +18,7 @@ from opsmetrics.schemas import SERVICE_SNAPSHOT
 from opsmetrics.sinks.tables import append_status, write_report
 from opsmetrics.sources.files import flatten_services, read_service_snapshots
 from opsmetrics.sources.tables import read_status_history
-from registered.common import RECENT_SQL, landing, last_instant, table
+from registered.common import landing, last_instant, table
 
 # Event types as health states; the others stand for unlisted states.
 PALETTE = {"view": "#4CAF50", "click": "#FF9800", "error": "#F44336", "N/A": "#BDBDBD"}
@@ -26,7 +26,12 @@ PALETTE_SQL = "(VALUES {}) AS palette(state, colour)".format(
     ", ".join(f"('{state}', '{colour}')" for state, colour in PALETTE.items())
 )
 
-# The days of the last seven days of the table, for the SQL side.
+# The grid is asked for as of the last midnight: seven whole days before it, and
+# the day itself, whose rows lie in the future. For the SQL side:
+GRID_WINDOW_SQL = """
+    SELECT * FROM events
+    WHERE ts >= (SELECT date_trunc('day', max(ts)) FROM events) - INTERVAL 7 DAY
+"""
 DAYS = [f"2024-01-{day}" for day in range(23, 31)]
 
 
@@ -35,7 +40,8 @@ DAYS = [f"2024-01-{day}" for day in range(23, 31)]
 
 def _window(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    return recent(events, "ts", last_instant(events))
+    midnight = last_instant(events).replace(hour=0, minute=0, second=0, microsecond=0)
+    return recent(events, "ts", midnight)
 
 
 def _long_grid(window: DataFrame) -> DataFrame:
@@ -49,11 +55,22 @@ def status_grid_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 STATUS_GRID_LONG_SQL = f"""
     SELECT user_id, strftime(ts, '%Y-%m-%d') AS date,
            arg_max(event_type, (ts, event_id)) AS event_type
-    FROM ({RECENT_SQL})
+    FROM ({GRID_WINDOW_SQL})
     GROUP BY 1, 2
 """
 
 
+def status_grid_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by day, under the policy that a second row in a cell is an error."""
+    orders = table(spark, sf_dir, "orders")
+    return status_grid(orders, "o_orderkey", "o_orderdate", "o_orderstatus", "error")
+
+
+STATUS_GRID_ONCE_SQL = """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date, o_orderstatus FROM orders
+"""
+
+
 def _wide_grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     window = _window(spark, sf_dir)
     dates = grid_dates(window, "ts")
@@ -312,6 +329,7 @@ FROM (
 
 QUERIES = {
     "status_grid_long": (status_grid_long, STATUS_GRID_LONG_SQL),
+    "status_grid_once": (status_grid_once, STATUS_GRID_ONCE_SQL),
     "status_grid_wide": (status_grid_wide, STATUS_GRID_WIDE_SQL),
     "state_colours": (state_colours, STATE_COLOURS_SQL),
     "grid_cells": (grid_cells, GRID_CELLS_SQL),

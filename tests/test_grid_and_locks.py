@@ -38,7 +38,7 @@ def test_grid_without_repeats(spark, policy):
     dates = grid_dates(df, "timestamp")
     assert dates == ["2026-12-02", "2026-12-04", "2026-12-09"]
     wide = wide_grid(long, "service_name", "health_status", dates)
-    assert values(wide, "service_name", *dates) == [
+    assert [tuple(r) for r in wide.collect()] == [
         ("hive", "BAD", "GOOD", "N/A"),
         ("yarn", "N/A", "N/A", "ODD"),
     ]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opsmetrics.fixed_values import UNREACHABLE_CPU, UNREACHABLE_OTHER
+from opsmetrics.operators.probes import with_unreachable
 from opsmetrics.plans.reports import host_metrics, service_statuses, snapshot_report
 from opsmetrics.sinks.tables import append_metrics, append_status, write_report
 from opsmetrics.sources.files import (
@@ -75,6 +76,17 @@ def test_samples_as_csv(spark, tmp_path):
     assert values(df, *FIELDS) == sorted((tuple(r) for r in rows), key=repr)
 
 
+def test_silent_hosts_get_a_row(spark, tmp_path):
+    samples = read_probe_samples(spark, land_samples(tmp_path / "in"))
+    hosts = frame(
+        spark, "server_name string, ip string", [("normal", "192.0.2.1"), ("silent", "192.0.2.7")]
+    )
+    rows = with_unreachable(samples.unionByName(samples), hosts)
+    assert rows.count() == 2 * len(SAMPLES) + 1
+    silent = rows.filter("server_name = 'silent'").first()
+    assert tuple(silent) == ("silent", "192.0.2.7", UNREACHABLE_CPU, *[UNREACHABLE_OTHER] * 4)
+
+
 def test_collection_is_one_narrow_stage(spark, tmp_path):
     metrics = host_metrics(read_probe_samples(spark, land_samples(tmp_path / "in")), NOW)
     plan = metrics._jdf.queryExecution().executedPlan().toString()

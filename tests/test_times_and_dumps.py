@@ -29,6 +29,16 @@ def test_parse_day_first_needs_four_year_digits(spark):
     assert got == [None]
 
 
+def test_parse_day_first_in_a_zone_with_clock_changes(spark):
+    # 02:30 does not exist on that day in New York, but does in the report.
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = column(spark, "t", ["10-03-2024 02:30"], pa.string())
+        assert in_order(df, parse_day_first(F.col("t"))) == [datetime(2024, 3, 10, 2, 30)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
 def test_pin_report_hour(spark, kind):
     times = [datetime(2026, 12, 4, 23, 59, 59, 999999), datetime(2026, 12, 4), None]
