@@ -12,7 +12,12 @@ from opsmetrics.operators.grid import grid_dates, status_grid, to_cells, wide_gr
 from opsmetrics.operators.history import recent
 from opsmetrics.operators.levels import classify_states
 from opsmetrics.operators.locks import numbered_locks
-from opsmetrics.operators.storage import scan_report_lines, usage_shares
+from opsmetrics.operators.storage import (
+    scan_report,
+    scan_report_lines,
+    split_lines,
+    usage_shares,
+)
 from opsmetrics.plans.reports import service_statuses, storage_report
 from opsmetrics.schemas import SERVICE_SNAPSHOT
 from opsmetrics.sinks.tables import append_status, write_report
@@ -255,6 +260,57 @@ GROUP BY user_id
 """
 
 
+# A long and a short number, as the two counters of a document.
+NUMBER_PATTERNS = (r"(\d{4,})", r"\D(\d{1,3})\D")
+
+
+def _as_bigint(counters: DataFrame) -> DataFrame:
+    return counters.select(
+        "doc_id",
+        F.col("used_bytes").cast("bigint").alias("long_number"),
+        F.col("remaining_bytes").cast("bigint").alias("short_number"),
+    )
+
+
+def document_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as reports, scanned within the row."""
+    documents = table(spark, sf_dir, "documents")
+    return _as_bigint(scan_report(documents, "doc_id", "text", NUMBER_PATTERNS))
+
+
+def document_line_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents as lines, scanned piece by piece."""
+    lines = table(spark, sf_dir, "documents").select(
+        "doc_id", F.posexplode(split_lines(F.col("text"))).alias("line_no", "line")
+    )
+    return _as_bigint(
+        scan_report_lines(lines, "doc_id", "line_no", "line", patterns=NUMBER_PATTERNS)
+    )
+
+
+DOCUMENT_COUNTERS_SQL = r"""
+WITH split AS (
+    SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents
+), lines AS (
+    SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS line_no FROM split
+), running AS (
+    SELECT doc_id, line_no,
+           last_value(nullif(regexp_extract(line, '(\d{4,})', 1), '') IGNORE NULLS)
+               OVER so_far AS long_number,
+           last_value(nullif(regexp_extract(line, '\D(\d{1,3})\D', 1), '') IGNORE NULLS)
+               OVER so_far AS short_number
+    FROM lines
+    WINDOW so_far AS (PARTITION BY doc_id ORDER BY line_no
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)
+SELECT doc_id, arg_min(long_number, line_no)::BIGINT AS long_number,
+       arg_min(short_number, line_no)::BIGINT AS short_number
+FROM running
+WHERE long_number IS NOT NULL AND short_number IS NOT NULL
+GROUP BY doc_id
+"""
+
+
 def storage_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report text per order, in three forms by its status; the form for
     pending orders never shows a used counter that counts."""
@@ -338,6 +394,8 @@ QUERIES = {
     "kept_report": (kept_report, KEPT_REPORT_SQL),
     "distinct_locks": (distinct_locks, DISTINCT_LOCKS_SQL),
     "report_counters": (report_counters, REPORT_COUNTERS_SQL),
+    "document_counters": (document_counters, DOCUMENT_COUNTERS_SQL),
+    "document_line_counters": (document_line_counters, DOCUMENT_COUNTERS_SQL),
     "storage_usage": (storage_usage, STORAGE_USAGE_SQL),
     "order_shares": (order_shares, ORDER_SHARES_SQL),
 }

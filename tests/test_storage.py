@@ -1,12 +1,20 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from opsmetrics.operators.storage import scan_report, scan_report_lines, usage_shares, usage_tb
+from opsmetrics.operators.storage import (
+    RARE_BREAKS,
+    scan_report,
+    scan_report_lines,
+    split_lines,
+    usage_shares,
+    usage_tb,
+)
 from opsmetrics.sources.files import read_report_lines, read_text_reports
-from tests.rows import frame, values
+from tests.rows import column, frame, in_order, values
 
 REPORTS = [
     ("DFS Used: 1,000 B\nDFS Remaining: 5 B\nDFS Used: 7 B", (1000, 5)),
@@ -62,6 +70,13 @@ def test_whole_texts(spark):
     assert counters(scan_report(df, "id", "txt"), "id") == expected
 
 
+def test_every_line_break(spark):
+    texts = [f"a{mark}b\nc" for mark in ["\n", "\r\n", *RARE_BREAKS]] + ["a\nb", "a", "", "a\t\x1fb"]
+    got = in_order(column(spark, "t", texts, pa.string()), split_lines(F.col("t")))
+    # One text more than the lines of Python: what follows the last break.
+    assert got == [f"{t}|".splitlines()[:-1] + [f"{t}|".splitlines()[-1][:-1]] for t in texts]
+
+
 def test_lines(spark):
     rows = [
         (i, n, line)
