@@ -7,9 +7,13 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsmetrics.functions.times import as_of_column, is_naive, minute_text
 
+# Types of which Spark can keep the greatest in a hash table.
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def stamp(
     df: DataFrame,
@@ -50,21 +54,26 @@ def latest_per_key(
     """The row with the greatest `ts` per key; rows without key or time drop out.
 
     Equal times are settled by the greatest `tiebreak`, then by the other
-    columns. One row per key leaves each map task, so a key holding most of the
-    rows shuffles no more than any other. The row travels once, as its own
-    sort key: `max_by` would carry its time and tie-break twice.
+    columns. Without a tie-break, and with numbers and times only, one of them
+    is taken, as a whole row.
+
+    One row per key leaves each map task, so a key holding most of the rows
+    shuffles no more than any other. Numbers and times are kept per column in
+    a hash table, without sorting the rows. Any other row travels as its own
+    sort key: `max_by` of a struct would carry its time and tie-break twice.
     """
     keys = list(keys)
     order = [ts, *tiebreak]
     rest = [c for c in df.columns if c not in keys and c not in order]
     for name in [*keys, ts]:
         df = df.filter(F.col(name).isNotNull())
-    return (
-        df.groupBy(*keys)
-        .agg(F.max(F.struct(*order, *rest)).alias("_latest"))
-        .select(*keys, "_latest.*")
-        .select(*df.columns)
-    )
+    rows = df.groupBy(*keys)
+    if not tiebreak and all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in rest):
+        newest = rows.agg(F.max(ts).alias(ts), *[F.max_by(c, ts).alias(c) for c in rest])
+    else:
+        whole = rows.agg(F.max(F.struct(*order, *rest)).alias("_latest"))
+        newest = whole.select(*keys, "_latest.*")
+    return newest.select(*df.columns)
 
 
 def latest_snapshot(

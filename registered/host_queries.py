@@ -232,6 +232,20 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 """
 
 
+def latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last value of each user and event type, from numbers and times only."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "value")
+    latest = latest_per_key(events, ["user_id", "event_type"], "ts")
+    return latest.withColumn("ts", minute_text(F.col("ts")))
+
+
+LATEST_VALUE_SQL = """
+SELECT user_id, event_type, strftime(max(ts), '%Y-%m-%d %H:%M') AS ts,
+       arg_max(value, ts) AS value
+FROM events GROUP BY user_id, event_type
+"""
+
+
 def ordered_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by their priority: place in a business order, and overlapping
     groups by pattern. Unlisted priorities drop out."""
@@ -491,6 +505,7 @@ QUERIES = {
     "day_first_dates": (day_first_dates, DAY_FIRST_DATES_SQL),
     "recent_events": (recent_events, RECENT_EVENTS_SQL),
     "latest_per_user": (latest_per_user, LATEST_PER_USER_SQL),
+    "latest_value": (latest_value, LATEST_VALUE_SQL),
     "ordered_groups": (ordered_groups, ORDERED_GROUPS_SQL),
     "threshold_levels": (threshold_levels, THRESHOLD_LEVELS_SQL),
     "disk_levels": (disk_levels, DISK_LEVELS_SQL),

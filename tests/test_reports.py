@@ -7,6 +7,7 @@ from opsmetrics.fixed_values import HOST_ORDER
 from opsmetrics.operators.grid import grid_dates
 from opsmetrics.plans.reports import host_report, service_grid, storage_report
 from opsmetrics.schemas import METRIC_HISTORY, STATUS_HISTORY
+from opsmetrics.sinks.tables import write_report
 from tests.rows import frame, values
 
 NOW = datetime(2026, 12, 4, 9, 30)
@@ -52,6 +53,15 @@ def test_host_report(spark):
     assert (row["usedRam(GB)"], row["useDisk(GB)"]) == (2.56, 10.12)
 
 
+def test_host_report_is_kept(spark, tmp_path):
+    report = host_report(spark.createDataFrame(HISTORY, METRIC_HISTORY), NOW)
+    path = str(tmp_path / "reports")
+    assert write_report(report, path, NOW) == 4
+    kept = spark.read.parquet(path)
+    assert kept.columns == [*report.columns, "report_ts"]
+    assert values(kept, "Name", "`useDisk(%)`") == values(report, "Name", "`useDisk(%)`")
+
+
 def test_host_report_agrees_with_pandas(spark):
     """The same report written with array operations on made histories."""
     import random

@@ -161,6 +161,18 @@ def test_incomplete_service_writes_nothing(spark, tmp_path, service):
     assert not [f for _, _, files in os.walk(target) for f in files if f.endswith(".parquet")]
 
 
+def test_incomplete_service_undoes_finished_tasks(spark, tmp_path):
+    """Many tasks finish their files before the one with the bad row fails."""
+    states = spark.range(0, 80000, 1, 16).select(
+        F.format_string("service-%d", "id").alias("service_name"),
+        F.when(F.col("id") < 79999, "GOOD").alias("health_status"),
+    )
+    target = str(tmp_path / "history")
+    with pytest.raises(Exception, match="health_status is missing"):
+        append_status(service_statuses(states, NOW), target)
+    assert not [f for _, _, files in os.walk(target) for f in files if f.endswith(".parquet")]
+
+
 # --- sheets ----------------------------------------------------------------
 
 
