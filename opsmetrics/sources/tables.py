@@ -17,30 +17,33 @@ from opsmetrics.schemas import LOCKS, METRIC_HISTORY, RECORD_DATE, STATUS_HISTOR
 Source = str | Mapping[str, str]
 
 
-def open_source(spark: SparkSession, source: Source) -> DataFrame:
-    if isinstance(source, str):
-        return spark.read.parquet(source) if "/" in source else spark.table(source)
-    return spark.read.format("jdbc").options(**source).load()
-
-
-def _declared(df: DataFrame, schema: T.StructType) -> DataFrame:
-    kept = [field.name for field in schema]
-    if RECORD_DATE in df.columns:
-        kept.append(RECORD_DATE)
-    return df.select(*kept)
+def open_source(spark: SparkSession, source: Source, schema: T.StructType) -> DataFrame:
+    """The declared columns, and the date partition where there is one.
+
+    A folder is read with the declared schema: no file is opened to infer it,
+    and a folder without data yet is an empty table.
+    """
+    if not isinstance(source, str):
+        df = spark.read.format("jdbc").options(**source).load()
+    elif "/" in source:
+        df = spark.read.schema(schema).parquet(source)
+    else:
+        df = spark.table(source)
+    kept = schema.fieldNames()
+    return df.select(*kept, *[c for c in [RECORD_DATE] if c in df.columns])
 
 
 def read_metric_history(spark: SparkSession, source: Source) -> DataFrame:
     """The nine metric columns, and the date partition where there is one."""
-    return _declared(open_source(spark, source), METRIC_HISTORY)
+    return open_source(spark, source, METRIC_HISTORY)
 
 
 def read_status_history(spark: SparkSession, source: Source) -> DataFrame:
     """Service, state and time, and the date partition where there is one."""
-    return _declared(open_source(spark, source), STATUS_HISTORY)
+    return open_source(spark, source, STATUS_HISTORY)
 
 
 def read_locks(spark: SparkSession, source: Source) -> DataFrame:
     """The three lock columns. Over JDBC the filter of `active_locks` runs in
     the database; `partitionColumn` and its bounds split a large table."""
-    return _declared(open_source(spark, source), LOCKS)
+    return open_source(spark, source, LOCKS)

@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 
 from opsmetrics.fixed_values import UNREACHABLE_CPU, UNREACHABLE_OTHER
 from opsmetrics.operators.probes import with_unreachable
-from opsmetrics.plans.reports import host_metrics, service_statuses, snapshot_report
+from opsmetrics.plans.reports import (
+    host_metrics,
+    host_report,
+    service_grid,
+    service_statuses,
+    snapshot_report,
+)
+from opsmetrics.schemas import LOCKS
 from opsmetrics.sinks.tables import append_metrics, append_status, write_report
 from opsmetrics.sources.files import (
     read_probe_samples,
     read_service_snapshots,
     read_snapshot_sheets,
 )
-from opsmetrics.sources.tables import (
-    open_source,
-    read_locks,
-    read_metric_history,
-    read_status_history,
-)
+from opsmetrics.sources.tables import read_locks, read_metric_history, read_status_history
 from tests.rows import frame, values
 
 NOW = datetime(2026, 12, 4, 9, 30)
@@ -219,7 +221,9 @@ def test_reports_are_kept_by_time(spark, tmp_path):
 
 
 class Recorder:
-    """Stands in for a session or reader and notes the calls."""
+    """Stands in for a session, reader and frame, and notes the calls."""
+
+    columns = LOCKS.fieldNames()
 
     def __init__(self):
         self.calls = []
@@ -238,8 +242,24 @@ class Recorder:
 def test_database_source_passes_its_options():
     recorder = Recorder()
     options = {"url": "jdbc:postgresql://192.0.2.9/metastore", "dbtable": "hive_locks"}
-    open_source(recorder, options)
-    assert recorder.calls == [("format", ("jdbc",), {}), ("options", (), options), ("load", (), {})]
+    read_locks(recorder, options)
+    assert recorder.calls == [
+        ("format", ("jdbc",), {}),
+        ("options", (), options),
+        ("load", (), {}),
+        ("select", tuple(LOCKS.fieldNames()), {}),
+    ]
+
+
+def test_folder_without_data_is_an_empty_history(spark, tmp_path):
+    target = str(tmp_path / "history")
+    states = frame(spark, "service_name string, health_status string, timestamp timestamp", [])
+    assert append_status(states, target) == 0
+    history = read_status_history(spark, target)
+    assert history.count() == 0
+    assert service_grid(history, NOW).count() == 0
+    os.makedirs(tmp_path / "metrics")
+    assert host_report(read_metric_history(spark, str(tmp_path / "metrics")), NOW).count() == 0
 
 
 def test_lock_source_prunes_columns(spark, tmp_path):
