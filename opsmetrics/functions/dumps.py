@@ -1,8 +1,7 @@
-"""Measures out of the raw text a probe prints. Column -> Column, no shuffle.
+"""What a probe reads out of the raw text of its commands. Column -> Column.
 
-Each result is what the probe would have delivered as text, already parsed: a
-dump that does not hold exactly one value gives NULL. Lines are found by one
-regular expression over the whole dump, which stays in generated code.
+Lines are found by one regular expression over the whole dump. The functions
+are the steps of `operators.probes.parse_probe_dumps`.
 """
 
 from __future__ import annotations
@@ -10,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from opsmetrics.functions.numbers import round_significant, to_number
-
 # Two lines, then the second blank-separated field of the third.
 THIRD_LINE_FIELD = r"\A(?:[^\n]*\n){2}[ \t]*\S+[ \t]+(\S+)"
 
@@ -29,23 +26,19 @@ def _nth(values: Column, number: int) -> Column:
     return F.try_element_at(values, F.lit(number))
 
 
-def cpu_percent(process_table: Column) -> Column:
-    """Second field of the third line: the user share of CPU time. A number
-    glued to its label (`100.0us,`) leaves no number and gives NULL."""
-    return to_number(F.regexp_extract(process_table, THIRD_LINE_FIELD, 1))
+def cpu_text(process_table: Column) -> Column:
+    """Second field of the third line: the user share of CPU time."""
+    return F.regexp_extract(process_table, THIRD_LINE_FIELD, 1)
 
 
 def memory_kb(memory_info: Column, label: str) -> Column:
-    """The kB values behind `label`, in line order; no digits count as 0."""
-    return F.transform(
-        _all(memory_info, _labelled(label), 1),
-        lambda digits: F.coalesce(digits.try_cast("double"), F.lit(0.0)),
-    )
+    """The kB values behind `label`, in line order; NULL where digits lack."""
+    return _all(memory_info, _labelled(label), 1).try_cast("array<double>")
 
 
 def total_memory_gb(total_kb: Column) -> Column:
-    """GB of the one `MemTotal` value, as printed with six significant digits."""
-    return F.when(F.size(total_kb) == 1, round_significant(_nth(total_kb, 1) / 1024 / 1024))
+    """GB of the one `MemTotal` value; 0 if it has no digits."""
+    return F.when(F.size(total_kb) == 1, F.coalesce(_nth(total_kb, 1), F.lit(0.0)) / 1024 / 1024)
 
 
 def used_memory_gb(total_kb: Column, available_kb: Column) -> Column:
@@ -53,16 +46,19 @@ def used_memory_gb(total_kb: Column, available_kb: Column) -> Column:
     total, available = [
         F.coalesce(_nth(values, -1), F.lit(0.0)) for values in (total_kb, available_kb)
     ]
-    return F.when(total_kb.isNotNull(), round_significant((total - available) / 1024 / 1024))
+    return F.when(total_kb.isNotNull(), (total - available) / 1024 / 1024)
+
+
+def total_lines(listing: Column) -> Column:
+    """The lines of a filesystem listing that hold `total`."""
+    return _all(listing, r"(?m)^.*total.*$", 0)
 
 
-def total_fields(listing: Column) -> Column:
-    """The blank-separated fields of the one line of a filesystem listing that
-    holds `total`; NULL if there is none or more than one."""
-    lines = _all(listing, r"(?m)^.*total.*$", 0)
+def fields_of_one(lines: Column) -> Column:
+    """The blank-separated fields of the line; NULL if there is not exactly one."""
     return F.when(F.size(lines) == 1, F.split(F.ltrim(_nth(lines, 1)), r"[ \t]+", -1))
 
 
-def disk_gb(fields: Column, number: int) -> Column:
-    """A size in whole GB out of such fields, its unit letter removed."""
-    return to_number(F.replace(_nth(fields, number), F.lit("G"), F.lit("")))
+def size_text(fields: Column, number: int) -> Column:
+    """A size in whole GB out of such fields, without its unit letter."""
+    return F.replace(_nth(fields, number), F.lit("G"), F.lit(""))

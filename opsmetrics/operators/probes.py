@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opsmetrics.fixed_values import UNREACHABLE_CPU, UNREACHABLE_OTHER
 from opsmetrics.functions import dumps
+from opsmetrics.functions.numbers import round_significant, to_number
 from opsmetrics.schemas import MEASURES, PROBE_SAMPLE
 
 
@@ -17,24 +18,36 @@ def parse_probe_dumps(
     listing: str | None = None,
 ) -> DataFrame:
     """Replace the named dump columns by the measures they hold: CPU %, total
-    and used RAM, total and used disk.
+    and used RAM, total and used disk. A dump that does not hold exactly one
+    value, or words instead, gives NULL; RAM has six significant digits, as
+    printed.
 
-    Each dump is searched once; the measures are computed from what was found.
+    Each step is a projection of its own: what was found is used several times
+    by the next step, and Spark does not merge projections that would then
+    repeat the search.
     """
-    found, measures = {}, {}
+    found, parts, texts, numbers = {}, {}, {}, {}
     if process_table:
-        measures["cpu_usage_percent"] = dumps.cpu_percent(F.col(process_table))
+        texts["cpu_usage_percent"] = dumps.cpu_text(F.col(process_table))
     if memory_info:
         found["_total_kb"] = dumps.memory_kb(F.col(memory_info), "MemTotal")
         found["_available_kb"] = dumps.memory_kb(F.col(memory_info), "MemAvailable")
-        measures["total_ram_gb"] = dumps.total_memory_gb(F.col("_total_kb"))
-        measures["used_ram_gb"] = dumps.used_memory_gb(F.col("_total_kb"), F.col("_available_kb"))
+        numbers["total_ram_gb"] = dumps.total_memory_gb(F.col("_total_kb"))
+        numbers["used_ram_gb"] = dumps.used_memory_gb(F.col("_total_kb"), F.col("_available_kb"))
     if listing:
-        found["_fields"] = dumps.total_fields(F.col(listing))
-        measures["total_disk_gb"] = dumps.disk_gb(F.col("_fields"), 2)
-        measures["used_disk_gb"] = dumps.disk_gb(F.col("_fields"), 3)
-    texts = [c for c in (process_table, memory_info, listing) if c]
-    return df.withColumns(found).withColumns(measures).drop(*texts, *found)
+        found["_lines"] = dumps.total_lines(F.col(listing))
+        parts["_fields"] = dumps.fields_of_one(F.col("_lines"))
+        texts["total_disk_gb"] = dumps.size_text(F.col("_fields"), 2)
+        texts["used_disk_gb"] = dumps.size_text(F.col("_fields"), 3)
+    measures = {
+        name: to_number(F.col(name)) if name in texts else round_significant(F.col(name))
+        for name in MEASURES
+        if name in texts or name in numbers
+    }
+    dumped = [c for c in (process_table, memory_info, listing) if c]
+    read = df.withColumns(found).withColumns(parts).withColumns({**texts, **numbers})
+    kept = [c for c in df.columns if c not in dumped]
+    return read.withColumns(measures).select(*kept, *measures)
 
 
 def with_unreachable(samples: DataFrame, hosts: DataFrame) -> DataFrame:

@@ -75,6 +75,7 @@ DUMPS = [
     ("%Cpu(s):100.0 us,  0.0 sy", "", "", None, None, 0.0, None, None),
     ("  %Cpu(s):\t7 us", "MemTotal: 8388608 kB", " total  9G  8G", 7.0, 8.0, 8.0, 9, 8),
     ("", "MemAvailable: 1048576 kB", "totals 5G xG", None, None, -1.0, 5, None),
+    ("", "MemTotal:\nMemAvailable: x 5", "", None, 0.0, 0.0, None, None),
     ("one", "MemTotal: 1 kB\nMemTotal: 2 kB", "total", None, None, 1.90735e-06, None, None),
 ]
 
