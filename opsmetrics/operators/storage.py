@@ -50,8 +50,8 @@ def _has_digits(*counters: Column) -> Column:
 def _byte_counts(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(
         *keep,
-        F.col("used").cast("decimal(38,0)").alias("used_bytes"),
-        F.col("remaining").cast("decimal(38,0)").alias("remaining_bytes"),
+        F.col("used").try_cast("decimal(38,0)").alias("used_bytes"),
+        F.col("remaining").try_cast("decimal(38,0)").alias("remaining_bytes"),
     )
 
 

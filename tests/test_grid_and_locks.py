@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +45,25 @@ def test_grid_without_repeats(spark, policy):
     ]
 
 
+def test_wide_grid_agrees_with_pandas(spark):
+    rng = random.Random(13)
+    states = ["GOOD", "BAD", "CONCERNING", "DISABLED", None]
+    cells = rng.sample([(f"s{n:02}", d) for n in range(30) for d in range(12) if d != 5], 200)
+    rows = [
+        (name, NOW - d * DAY + timedelta(minutes=rng.randint(-500, 800)), rng.choice(states))
+        for name, d in cells
+    ]
+    data = pd.DataFrame(rows, columns=["service_name", "timestamp", "health_status"])
+    data["date"] = data["timestamp"].dt.date.astype(str)
+    expected = data.pivot(index="service_name", columns="date", values="health_status").fillna("N/A")
+
+    df = frame(spark, SCHEMA, rows).repartition(8)
+    dates = grid_dates(df, "timestamp")
+    assert dates == expected.columns.tolist()
+    wide = wide_grid(grid(df, on_duplicate="error"), "service_name", "health_status", dates)
+    assert [tuple(r) for r in wide.collect()] == [tuple(r) for r in expected.reset_index().to_numpy()]
+
+
 def test_repeats_take_the_latest(spark):
     long = grid(frame(spark, SCHEMA, [REPOLL, *POLLS]))
     assert ("hive", "2026-12-04", "CONCERNING") in values(
@@ -163,3 +183,25 @@ def test_active_locks(spark):
         (3, "db2", "t1", "agent-a"),
         (4, "db1", "t2", "unknown"),
     ]
+
+
+def test_numbered_locks_agree_with_pandas(spark):
+    rng = random.Random(14)
+    rows = [
+        (
+            rng.choice(["d1", "d2", None]),
+            rng.choice([None, *[f"t{n}" for n in range(40)]]),
+            rng.choice(["Unknown", None, "a", "b", "c"]),
+        )
+        for _ in range(3000)
+    ]
+    data = pd.DataFrame(rows, columns=["hl_db", "hl_table", "hl_agent_info"])
+    known = data["hl_table"].notna() & data["hl_agent_info"].notna() & (data["hl_agent_info"] != "Unknown")
+    kept = data[known].drop_duplicates()
+    kept = kept.sort_values(["hl_table", "hl_agent_info", "hl_db"], na_position="first")
+    expected = [
+        (place, None if pd.isna(db) else db, table, agent)
+        for place, (db, table, agent) in enumerate(kept.itertuples(index=False))
+    ]
+    df = frame(spark, "hl_db string, hl_table string, hl_agent_info string", rows).repartition(6)
+    assert [tuple(r) for r in numbered_locks(df).orderBy("Index").collect()] == expected

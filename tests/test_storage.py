@@ -119,6 +119,12 @@ def test_one_report_holds_most_lines(spark):
     assert counters(got, "report") == {"big": ((n - 2) // 3 * 3, 3)}
 
 
+def test_counters_beyond_38_digits_are_missing(spark):
+    df = frame(spark, "id int, txt string", [(0, f"DFS Used: {'9' * 39} B\nDFS Remaining: 1 B")])
+    got = usage_shares(usage_tb(scan_report(df, "id", "txt"))).first()
+    assert (got["dfs_used_tb"], got["dfs_remaining_tb"], got["used_share"]) == (None, 0.0, None)
+
+
 def test_other_patterns(spark):
     df = frame(spark, "id int, txt string", [(0, "free 5\nfull 6"), (1, "DFS Used: 1 B\nDFS Remaining: 2 B")])
     got = scan_report(df, "id", "txt", (r"full (\d+)", r"free (\d+)"))
