@@ -6,9 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsmetrics.session import cut_lineage
 
+# Types that can settle a tie.
+ORDERED = (
+    T.NumericType,
+    T.StringType,
+    T.BooleanType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
+
 # monotonically_increasing_id: partition number above bit 33, row below.
 _ROW_BITS = 33
 
@@ -22,12 +33,19 @@ def number_rows(
     """Add `name`: start, start+1, ... following `order_by`, as first column.
 
     Rows are range-partitioned, sorted and numbered within their partition;
-    the sizes of the preceding partitions are added afterwards. The order
-    should be total: equal rows share a partition. The sorted rows are
+    the sizes of the preceding partitions are added afterwards. Rows equal in
+    the order are ordered by their other columns, which also spreads a value
+    that many rows share over several partitions. The sorted rows are
     checkpointed, since sampled range bounds and row places must be the same
     for both uses; this runs a job when called.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    named = {c for c in order_by if isinstance(c, str)}
+    keys += [
+        F.col(f"`{field.name}`")
+        for field in df.schema
+        if field.name not in named and isinstance(field.dataType, ORDERED)
+    ]
     placed = cut_lineage(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
