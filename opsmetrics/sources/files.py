@@ -13,8 +13,9 @@ from opsmetrics.schemas import PROBE_SAMPLE, SERVICE_SNAPSHOT
 
 def read_probe_samples(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """One row of text fields per host and probe; JSON lines, or CSV with a
-    header naming the columns. An unreachable host is a row like any other."""
-    reader = spark.read.schema(PROBE_SAMPLE)
+    header naming the columns. An unreachable host is a row like any other. A
+    line that cannot be read is lost, as a probe that breaks off is."""
+    reader = spark.read.schema(PROBE_SAMPLE).option("mode", "DROPMALFORMED")
     if fmt == "csv":
         reader = reader.option("header", True)
     return reader.format(fmt).load(path)
@@ -71,6 +72,6 @@ def read_service_snapshots(
     spark: SparkSession, path: str, one_per_line: bool = False
 ) -> DataFrame:
     """Services of JSON documents: one document per file, or one per line,
-    which lets Spark split large files."""
-    reader = spark.read.schema(SERVICE_SNAPSHOT).option("multiLine", not one_per_line)
-    return flatten_services(reader.json(path))
+    which lets Spark split large files. A broken document fails the query."""
+    reader = spark.read.schema(SERVICE_SNAPSHOT).option("mode", "FAILFAST")
+    return flatten_services(reader.option("multiLine", not one_per_line).json(path))

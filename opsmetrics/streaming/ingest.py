@@ -33,7 +33,7 @@ def collect_metrics(
     spark: SparkSession, landing: str, target: str, checkpoint: str
 ) -> StreamingQuery:
     """Landed probe samples (JSON lines) -> metric history."""
-    samples = spark.readStream.schema(PROBE_SAMPLE).json(landing)
+    samples = spark.readStream.schema(PROBE_SAMPLE).option("mode", "DROPMALFORMED").json(landing)
     return _start(host_metrics(samples), "datetime_record", target, checkpoint)
 
 
@@ -41,7 +41,8 @@ def collect_statuses(
     spark: SparkSession, landing: str, target: str, checkpoint: str
 ) -> StreamingQuery:
     """Landed service snapshots (one JSON document per file) -> status history."""
-    documents = spark.readStream.schema(SERVICE_SNAPSHOT).option("multiLine", True).json(landing)
+    reader = spark.readStream.schema(SERVICE_SNAPSHOT).option("mode", "FAILFAST")
+    documents = reader.option("multiLine", True).json(landing)
     rows = require_values(
         service_statuses(flatten_services(documents)), *STATUS_HISTORY.fieldNames()
     )

@@ -70,6 +70,14 @@ def test_samples_to_history(spark, tmp_path):
     assert os.path.isdir(os.path.join(target, "record_date=2026-12-04"))
 
 
+def test_broken_sample_is_lost(spark, tmp_path):
+    folder = land_samples(tmp_path / "in")
+    (tmp_path / "in" / "b.json").write_text('{"server_name": "half", "ip": "192.0')
+    samples = read_probe_samples(spark, folder)
+    assert values(samples, "server_name") == sorted((s[0],) for s in SAMPLES)
+    assert samples.count() == len(SAMPLES)
+
+
 def test_samples_as_csv(spark, tmp_path):
     rows = [[s[0], "192.0.2.1", *s[1:6]] for s in SAMPLES]
     lines = [",".join(FIELDS), *[",".join(f'"{v}"' for v in r) for r in rows]]
@@ -131,6 +139,14 @@ def test_service_documents(spark, tmp_path):
     assert values(df, "service_name", "health_status") == [("hive", "GOOD"), ("yarn", "BAD")]
 
 
+@pytest.mark.parametrize("one_per_line", [False, True])
+def test_broken_document_fails(spark, tmp_path, one_per_line):
+    (tmp_path / "a.json").write_text('{"items": [{"displayName": "hive", "healthSu')
+    services = read_service_snapshots(spark, str(tmp_path), one_per_line)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        services.collect()
+
+
 @pytest.mark.parametrize("target", ["folder", "service_status_test"])
 def test_status_history(spark, tmp_path, target):
     target = str(tmp_path / "history") if target == "folder" else target
