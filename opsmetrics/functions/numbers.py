@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 INFINITY = float("inf")
 
+DECIMAL_TEXT = r"\A\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
+INFINITE_TEXT = r"(?i)\A\s*[+-]?inf(inity)?\s*\z"
+
 
 def missing_if_nan(value: Column) -> Column:
     """NaN -> NULL. Spark orders NaN above every number, so a NaN that reaches
@@ -15,19 +18,15 @@ def missing_if_nan(value: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Text -> double; anything that is not a decimal number becomes NULL.
+    """Text -> double; anything that is not a decimal number or infinity
+    becomes NULL, and so does a number beyond the double range.
 
-    `try_cast` also accepts type suffixes (`5d`), hexadecimal floats (`0x1p3`)
-    and finite text beyond the double range, all of which count as bad text.
+    `try_cast` alone would also accept type suffixes (`5d`), hexadecimal
+    floats (`0x1p3`) and NaN.
     """
     parsed = text.try_cast("double")
-    spelled_for_java = text.rlike(r"(?i)[xp]|[0-9.][df]\s*$")
-    overflowed = (F.abs(parsed) == INFINITY) & ~text.rlike("(?i)inf")
-    return (
-        F.when(parsed.isNull() | F.isnan(parsed), F.lit(None).cast("double"))
-        .when(spelled_for_java | overflowed, F.lit(None).cast("double"))
-        .otherwise(parsed)
-    )
+    decimal = text.rlike(DECIMAL_TEXT) & (F.abs(parsed) < INFINITY)
+    return F.when(decimal | text.rlike(INFINITE_TEXT), parsed)
 
 
 def round_half_even(value: Column, digits: int = 2) -> Column:
