@@ -128,13 +128,15 @@ def scan_report_lines(
         F.last("_remaining", ignorenulls=True).over(so_far).alias("remaining"),
     )
     used, remaining = F.col("used"), F.col("remaining")
+    # The line number comes first, so the least and greatest states are those
+    # of the first and last line.
     state = F.struct("_at", "used", "remaining")
 
     def first_where(condition: Column) -> Column:
-        return F.min_by(F.when(condition, state), F.when(condition, F.col("_at")))
+        return F.min(F.when(condition, state))
 
     pieces = running.groupBy(report_id, "_piece").agg(
-        F.max_by(state, "_at").alias("_end"),
+        F.max(state).alias("_end"),
         first_where(_has_digits(used, remaining)).alias("_alone"),
         first_where(used.isNull() & _has_digits(remaining)).alias("_needs_used"),
         first_where(remaining.isNull() & _has_digits(used)).alias("_needs_remaining"),
@@ -169,8 +171,8 @@ def scan_report_lines(
         entered.select(report_id, "_piece", F.array_min(candidates).alias("_first"))
         .filter(F.col("_first").isNotNull())
         .groupBy(report_id)
-        .agg(F.min_by("_first", "_piece").alias("_first"))
-        .select(report_id, "_first.*")
+        .agg(F.min(F.struct("_piece", "_first")).alias("_least"))
+        .select(report_id, "_least._first.*")
     )
     return _byte_counts(complete, report_id)
 
