@@ -25,12 +25,13 @@ def status_grid(
 
     Several rows in one cell: "error" fails the query, "latest" takes the value
     with the greatest time, then `tiebreak`, then value. A missing state shows
-    as N/A. Each map task sends one row per cell, however many polls it holds.
+    as N/A; a row without time has no cell. Each map task sends one row per
+    cell, however many polls it holds.
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError("on_duplicate must be 'error' or 'latest'")
     day = F.to_date(ts).alias("_day")
-    cells = df.groupBy(F.col(key), day).agg(
+    cells = df.filter(F.col(ts).isNotNull()).groupBy(F.col(key), day).agg(
         F.max(F.struct(F.col(ts), *tiebreak, F.col(value).alias("_state"))).alias("_latest"),
         *([F.count(F.lit(1)).alias("_rows")] if on_duplicate == "error" else []),
     )

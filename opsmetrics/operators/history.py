@@ -68,7 +68,8 @@ def latest_per_key(
     for name in [*keys, ts]:
         df = df.filter(F.col(name).isNotNull())
     rows = df.groupBy(*keys)
-    if not tiebreak and all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in rest):
+    fixed = all(isinstance(f.dataType, FIXED_WIDTH) for f in df.schema if f.name in rest)
+    if fixed and not tiebreak:
         newest = rows.agg(F.max(ts).alias(ts), *[F.max_by(c, ts).alias(c) for c in rest])
     else:
         whole = rows.agg(F.max(F.struct(*order, *rest)).alias("_latest"))

@@ -90,7 +90,7 @@ def write_report(df: DataFrame, path: str, report_ts: datetime) -> int:
 
     Each run is one `report_ts` partition. A rerun with the same time replaces
     its partition and no other, so a retried job leaves one copy; a report
-    without rows leaves none.
+    without rows writes none.
     """
     counted = Observation("rows")
     (

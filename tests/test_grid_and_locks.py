@@ -18,6 +18,8 @@ POLLS = [
     ("hive", NOW - 2 * DAY, "BAD"),
     ("yarn", NOW, None),
     ("yarn", NOW + 5 * DAY, "ODD"),
+    ("yarn", None, "BAD"),
+    ("yarn", None, "GOOD"),
 ]
 REPOLL = ("hive", NOW + timedelta(hours=1), "CONCERNING")
 
