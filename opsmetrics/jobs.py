@@ -9,7 +9,8 @@
     python -m opsmetrics.jobs service-grid HISTORY REPORTS [--as-of TIME]
 
 A history or lock table is a folder, a catalog table, or JDBC options as JSON.
-Every command prints the number of rows it wrote.
+Every command prints the number of rows it wrote. On a cluster, lock-report and
+service-grid need spark.checkpoint.dir.
 """
 
 from __future__ import annotations

@@ -89,17 +89,17 @@ def host_report(
 def snapshot_report(sheets: DataFrame, lead_sheet: str) -> DataFrame:
     """Latest snapshot of a workbook's sheets, with a colour per metric.
 
-    `sheets` is text, as `read_snapshot_sheets` gives it.
+    `sheets` is text, as `read_snapshot_sheets` gives it. A metric that no
+    sheet has is left out.
     """
+    levels = {m: rules for m, rules in SNAPSHOT_LEVELS.items() if m in sheets.columns}
     parsed = sheets.withColumns(
         {
             "Date": parse_day_first(F.col("Date")),
-            **{m: to_number(F.col(f"`{m}`")) for m in SNAPSHOT_LEVELS},
+            **{m: to_number(F.col(f"`{m}`")) for m in levels},
         }
     )
-    return classify_levels(
-        latest_snapshot(parsed, "sheet", "Date", lead_sheet), SNAPSHOT_LEVELS
-    )
+    return classify_levels(latest_snapshot(parsed, "sheet", "Date", lead_sheet), levels)
 
 
 def service_statuses(services: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:

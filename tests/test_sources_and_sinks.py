@@ -220,6 +220,13 @@ def test_sheets(spark, tmp_path):
     ]
 
 
+def test_sheets_without_a_metric(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Name,useDisk(%),Date\nhost-01,71,04-01-2026 08:05\n")
+    got = snapshot_report(read_snapshot_sheets(spark, {"a": str(tmp_path / "a.csv")}), "a")
+    assert got.columns == ["Name", "useDisk(%)", "Date", "sheet", "useDisk(%)_colour"]
+    assert values(got, "`useDisk(%)_colour`") == [("yellow",)]
+
+
 # --- reports and databases -------------------------------------------------
 
 
