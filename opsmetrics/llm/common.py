@@ -60,3 +60,35 @@ def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "l
     for k in keys:
         match = match & rows[k].eqNullSafe(renamed[f"_key_{k}"])
     return rows.join(renamed, match, how).drop(*[f"_key_{k}" for k in keys])
+
+
+def let(value: Column, body) -> Column:
+    """`body(value)` with `value` computed once per row.
+
+    An expression used within a lambda would otherwise be computed for every
+    element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def window_hashes(hashes: Column, length: int) -> Column:
+    """A hash per run of `length` consecutive elements; none if there are fewer.
+    `hashes` must be a plain or bound column."""
+    last = F.size(hashes) - length
+    run = lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(length)])
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), run)).otherwise(
+        F.array().cast("array<bigint>")
+    )
+
+
+def shingle_hashes(tokens: Column, length: int) -> Column:
+    """Hashes of the `length`-word shingles in order, repeats included; with fewer
+    words the whole sequence is one shingle, without words there is none."""
+
+    def of(hashes: Column) -> Column:
+        short = F.when(F.size(hashes) > 0, F.array(F.xxhash64(F.lit(length), hashes))).otherwise(
+            F.array().cast("array<bigint>")
+        )
+        return F.when(F.size(hashes) >= length, window_hashes(hashes, length)).otherwise(short)
+
+    return let(F.transform(tokens, lambda w: F.xxhash64(w)), of)

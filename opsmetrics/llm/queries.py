@@ -6,12 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opsmetrics.llm.common import documents
 from opsmetrics.llm.mixing import MIX_SQL, mixed_sizes
+from opsmetrics.llm.quality_rules import quality_report
+from opsmetrics.llm.secret_scan import secret_report
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(documents(spark, sf_dir))
 
 
+def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(documents(spark, sf_dir))
+
+
+def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op2_source_mix": (op2_source_mix, MIX_SQL),
+    "op7_quality_outliers": (op7_quality_outliers, None),
+    "op10_linked_secrets": (op10_linked_secrets, None),
 }
