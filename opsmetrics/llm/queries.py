@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from opsmetrics.llm.common import documents
+from opsmetrics.llm.fingerprints import fingerprint_report
 from opsmetrics.llm.mixing import MIX_SQL, mixed_sizes
 from opsmetrics.llm.quality_rules import quality_report
 from opsmetrics.llm.secret_scan import secret_report
@@ -14,6 +15,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(documents(spark, sf_dir))
 
 
+def op5_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(documents(spark, sf_dir))
+
+
 def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(documents(spark, sf_dir))
 
@@ -24,6 +29,7 @@ def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_source_mix": (op2_source_mix, MIX_SQL),
+    "op5_bottom_k": (op5_bottom_k, None),
     "op7_quality_outliers": (op7_quality_outliers, None),
     "op10_linked_secrets": (op10_linked_secrets, None),
 }
