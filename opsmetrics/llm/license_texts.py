@@ -120,6 +120,7 @@ LICENCES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "Released under the MIT License."),
+    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
     ("MIT", "SPDX-License-Identifier: MIT"),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-only"),

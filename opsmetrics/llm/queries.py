@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opsmetrics.llm.common import documents
 from opsmetrics.llm.fingerprints import fingerprint_report
+from opsmetrics.llm.jaccard_join import jaccard_components
 from opsmetrics.llm.license_scan import LICENCE_SQL, scan_licences
 from opsmetrics.llm.mixing import MIX_SQL, mixed_sizes
 from opsmetrics.llm.quality_rules import quality_report
@@ -24,6 +25,10 @@ def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(documents(spark, sf_dir))
 
 
+def op8_jaccard_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op9_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(documents(spark, sf_dir))
 
@@ -36,6 +41,7 @@ QUERIES = {
     "op2_source_mix": (op2_source_mix, MIX_SQL),
     "op5_bottom_k": (op5_bottom_k, None),
     "op7_quality_outliers": (op7_quality_outliers, None),
+    "op8_jaccard_trie": (op8_jaccard_trie, None),
     "op9_licence_digests": (op9_licence_digests, LICENCE_SQL),
     "op10_linked_secrets": (op10_linked_secrets, None),
 }
