@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from opsmetrics.llm.common import documents
@@ -9,6 +10,7 @@ from opsmetrics.llm.fingerprints import fingerprint_report
 from opsmetrics.llm.jaccard_join import jaccard_components
 from opsmetrics.llm.license_scan import LICENCE_SQL, scan_licences
 from opsmetrics.llm.mixing import MIX_SQL, mixed_sizes
+from opsmetrics.llm.packing import pack_documents
 from opsmetrics.llm.quality_rules import quality_report
 from opsmetrics.llm.secret_scan import secret_report
 
@@ -17,6 +19,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(documents(spark, sf_dir))
 
 
+def op3_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(documents(spark, sf_dir))
 
@@ -39,6 +45,7 @@ def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_source_mix": (op2_source_mix, MIX_SQL),
+    "op3_packed_sequences": (op3_packed_sequences, None),
     "op5_bottom_k": (op5_bottom_k, None),
     "op7_quality_outliers": (op7_quality_outliers, None),
     "op8_jaccard_trie": (op8_jaccard_trie, None),
