@@ -13,6 +13,7 @@ from opsmetrics.llm.mixing import MIX_SQL, mixed_sizes
 from opsmetrics.llm.packing import pack_documents
 from opsmetrics.llm.quality_rules import quality_report
 from opsmetrics.llm.secret_scan import secret_report
+from opsmetrics.llm.warc_archives import archived_pages
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,10 @@ def op3_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(documents(spark, sf_dir))
 
@@ -46,6 +51,7 @@ def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_source_mix": (op2_source_mix, MIX_SQL),
     "op3_packed_sequences": (op3_packed_sequences, None),
+    "op4_zip_warc": (op4_zip_warc, None),
     "op5_bottom_k": (op5_bottom_k, None),
     "op7_quality_outliers": (op7_quality_outliers, None),
     "op8_jaccard_trie": (op8_jaccard_trie, None),
