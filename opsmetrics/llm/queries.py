@@ -11,11 +11,16 @@ from opsmetrics.llm.jaccard_join import jaccard_components
 from opsmetrics.llm.license_scan import LICENCE_SQL, scan_licences
 from opsmetrics.llm.mixing import MIX_SQL, mixed_sizes
 from opsmetrics.llm.packing import pack_documents
+from opsmetrics.llm.quality_classifier import quality_scores
 from opsmetrics.llm.quality_rules import quality_report
 from opsmetrics.llm.secret_scan import secret_report
 from opsmetrics.llm.warc_archives import archived_pages
 
 
+def op1_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(documents(spark, sf_dir))
 
@@ -49,6 +54,7 @@ def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_nbsvm": (op1_quality_nbsvm, None),
     "op2_source_mix": (op2_source_mix, MIX_SQL),
     "op3_packed_sequences": (op3_packed_sequences, None),
     "op4_zip_warc": (op4_zip_warc, None),
