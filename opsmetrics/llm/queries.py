@@ -11,6 +11,7 @@ from opsmetrics.llm.jaccard_join import jaccard_components
 from opsmetrics.llm.license_scan import LICENCE_SQL, scan_licences
 from opsmetrics.llm.mixing import MIX_SQL, mixed_sizes
 from opsmetrics.llm.packing import pack_documents
+from opsmetrics.llm.ppm_scores import scored_documents
 from opsmetrics.llm.quality_classifier import quality_scores
 from opsmetrics.llm.quality_rules import quality_report
 from opsmetrics.llm.secret_scan import secret_report
@@ -37,6 +38,10 @@ def op5_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(documents(spark, sf_dir))
 
 
+def op6_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_documents(documents(spark, sf_dir))
+
+
 def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(documents(spark, sf_dir))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op3_packed_sequences": (op3_packed_sequences, None),
     "op4_zip_warc": (op4_zip_warc, None),
     "op5_bottom_k": (op5_bottom_k, None),
+    "op6_ppm_scores": (op6_ppm_scores, None),
     "op7_quality_outliers": (op7_quality_outliers, None),
     "op8_jaccard_trie": (op8_jaccard_trie, None),
     "op9_licence_digests": (op9_licence_digests, LICENCE_SQL),
