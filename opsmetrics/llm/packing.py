@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator, Mapping
 
@@ -14,35 +15,71 @@ from opsmetrics.llm.common import staged, text_or_empty
 
 CAPACITY = 4096
 END_ID = 1
-# Rounds of the multiplicative weights; each finds one configuration.
+# Rounds of the multiplicative weights, configurations that each takes, the share of
+# the scarcest length that one use covers, and how fast weights fall.
 ROUNDS = 300
+PRICED = 64
+STEP = 1.0
 RATE = 6.0
+SCARCER = 0.9
+# Lengths tried first to fill what the program leaves.
+FILLERS = 96
 # Pieces of one length are numbered in so many parts.
 PARTS = 64
 # Words whose ids a worker keeps; later new ones are encoded each time.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 700_000
 
 Plan = list[tuple[dict[int, int], int]]
 
 
 class WordIds(dict):
-    """Ids of a word, as little-endian bytes."""
+    """Ids of a word, as little-endian bytes.
+
+    For tokenizers that fold case, drop white space and keep letters together but
+    apart from other marks, as `word_bpe_49k` does: a text's ids are then those
+    of its words, those of a word with a mark behind it are the word's and the
+    mark's, and a word of letters only goes to the model as a whole.
+    """
 
     def __init__(self, tokenizer_file: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.normalized = self.tokenizer.normalizer.normalize_str
+        self.tokens = self.tokenizer.model.tokenize
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.as_bytes = letters.pre_tokenize_str
+        self.parts: dict[str, bytes] = {"": b""}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        raw = np.array(ids, dtype="<u4").tobytes()
+        if word[-1:] in (".", ",") and word[:-1].isalpha():
+            raw = self.part(word[:-1]) + self.part(word[-1])
+        else:
+            raw = self.part(word)
         if len(self) < CACHED_WORDS:
             self[word] = raw
         return raw
 
+    def part(self, word: str) -> bytes:
+        plain = word.isascii() and word.isalpha()
+        if plain:
+            word = word.lower()
+        raw = self.parts.get(word)
+        if raw is None:
+            if plain:
+                ids = [t.id for t in self.tokens(word)]
+            elif word.isalpha() and max(word) < "\u0250" and (
+                known := self.normalized(word)
+            ).isalpha():
+                ids = [t.id for t in self.tokens(self.as_bytes(known)[0][0])]
+            else:
+                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            raw = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.parts) < CACHED_WORDS:
+                self.parts[word] = raw
+        return raw
+
     def of(self, text: str) -> bytes:
-        """Ids of a text. The tokenizer drops white space and never joins what
-        stands on both sides of it, so a text's ids are those of its words."""
         for blank in "\n\t\r\x0b\x0c":
             text = text.replace(blank, " ")
         return b"".join(map(self.__getitem__, text.split(" ")))
@@ -97,23 +134,28 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY)
     )
 
 
-def best_configuration(values: np.ndarray, capacity: int) -> dict[int, int]:
-    """The multiset of lengths of the greatest value that fits: a knapsack with
-    repeats, by capacity. `values[l]` is the value of length l, 0 if absent."""
-    lengths = np.flatnonzero(values)
-    worth = values[lengths]
+def knapsack(values: np.ndarray, capacity: int) -> np.ndarray:
+    """For every room up to `capacity` the length to take next in the multiset of
+    lengths of the greatest value that fits, or 0 to leave one place empty.
+    `values[l]` is the value of length l, 0 if absent; lengths may repeat."""
+    worth = np.where(values > 0, values, -np.inf)[1:]
     best = np.zeros(capacity + 1)
     choice = np.zeros(capacity + 1, dtype=np.int64)
-    usable = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for room in range(1, capacity + 1):
-        best[room], choice[room] = best[room - 1], 0
-        if k := usable[room]:
-            gain = best[room - lengths[:k]] + worth[:k]
-            at = int(gain.argmax())
-            if gain[at] > best[room]:
-                best[room], choice[room] = gain[at], lengths[at]
-    found: dict[int, int] = {}
-    room = capacity
+        # Length 1 leaves room - 1, length 2 one less, and so on.
+        gain = best[room - 1 :: -1] + worth[:room] if room < capacity else best[-2::-1] + worth
+        at = int(gain.argmax())
+        if gain[at] > best[room - 1]:
+            best[room], choice[room] = gain[at], at + 1
+        else:
+            best[room] = best[room - 1]
+    return choice
+
+
+def _configuration(choice: np.ndarray, first: int, capacity: int) -> dict[int, int]:
+    """The best configuration that holds the length `first`."""
+    found = {first: 1}
+    room = capacity - first
     while room > 0:
         if taken := int(choice[room]):
             found[taken] = found.get(taken, 0) + 1
@@ -124,50 +166,61 @@ def best_configuration(values: np.ndarray, capacity: int) -> dict[int, int]:
 
 
 def fractional_plan(counts: np.ndarray, capacity: int, rounds: int) -> Plan:
-    """Multiplicative weights on the covering program: minimise the sequences such
-    that every length is covered. Lengths that are covered less weigh more; each
-    round prices a configuration by them and uses it as far as its scarcest
-    length goes. The result is scaled and rounded down to what there is."""
-    lengths = np.flatnonzero(counts)
-    uses: dict[tuple, float] = {}
-    covered = np.zeros(capacity + 1)
-    share = np.zeros(capacity + 1)
-    for _ in range(rounds):
-        values = np.zeros(capacity + 1)
-        weight = np.exp(-RATE * (share[lengths] - share[lengths].min()))
-        values[lengths] = weight / weight.max() * (lengths / capacity) + 1e-9 * lengths
-        found = best_configuration(values, capacity)
-        key = tuple(sorted(found.items(), reverse=True))
-        times = min(counts[l] / a for l, a in found.items())
-        uses[key] = uses.get(key, 0.0) + times
-        for l, a in found.items():
-            covered[l] += a * times
-        share[lengths] = covered[lengths] / counts[lengths]
-    scale = 1 / share.max() if len(lengths) else 0.0
-    # Rounded down one by one, against what is left.
+    """The configuration program by multiplicative weights, in whole sequences.
+
+    A length's weight falls exponentially with the share of it that is covered,
+    and its price is its size times its weight. Each round prices all
+    configurations by one knapsack, takes the best one through each of the
+    lengths that weigh most, and uses it for a part of what its scarcest length
+    has left. Each use is rounded down to whole sequences, at least one, so
+    that the weights see what rounding left over.
+    """
     left = counts.astype(np.int64).copy()
-    plan: Plan = []
-    for key, times in sorted(uses.items(), key=lambda kv: -kv[1]):
-        whole = min(int(times * scale), *(int(left[l]) // a for l, a in key))
-        if whole > 0:
-            plan.append((dict(key), whole))
-            for l, a in key:
-                left[l] -= a * whole
-    return plan
+    lengths = np.arange(capacity + 1)
+    uses: dict[tuple, int] = {}
+    alone = np.zeros(capacity + 1, dtype=bool)  # lengths that nothing fills up any more
+    scarce = np.ones(capacity + 1)  # falls where a configuration asks for more than is left
+    for _ in range(rounds):
+        open_ = left > 0
+        if not (open_ & ~alone).any():
+            break
+        share = np.divide(left, counts, out=np.zeros(capacity + 1), where=counts > 0)
+        weight = np.where(open_, scarce * np.exp(RATE * (share - 1)), 0.0)
+        choice = knapsack(weight * lengths, capacity)
+        heaviest = np.flatnonzero(open_ & ~alone)
+        heaviest = heaviest[np.argsort(-(weight * lengths)[heaviest], kind="stable")][:PRICED]
+        for first in heaviest.tolist():
+            found = _configuration(choice, first, capacity)
+            most = min(int(left[l]) // a for l, a in found.items())
+            if sum(l * a for l, a in found.items()) < capacity:
+                alone[first] = True
+                continue
+            if not most:
+                for l, a in found.items():
+                    if a > left[l]:
+                        scarce[l] *= SCARCER
+                continue
+            times = max(1, int(STEP * most))
+            key = tuple(sorted(found.items(), reverse=True))
+            uses[key] = uses.get(key, 0) + times
+            for l, a in found.items():
+                left[l] -= a * times
+    return [(dict(key), times) for key, times in uses.items()]
 
 
-def _fullest(left: dict[int, int], capacity: int) -> dict[int, int]:
-    """The largest length with the lengths that fill the rest best, larger ones first."""
+def _fullest(left: dict[int, int], capacity: int, most: int) -> dict[int, int]:
+    """The largest length with the lengths that fill the rest best, larger ones
+    first; of at most `most` of the lengths, those that are left most."""
     largest = max(left)
     room = capacity - largest
+    usable = [l for l in left if l <= room]
+    if len(usable) > most:
+        usable = sorted(usable, key=lambda l: (-left[l], l))[:most]
     items = []
-    for l in sorted(left):
+    for l in sorted(usable):
         n = left[l] - (l == largest)
         step = 1
-        while l <= room and n > 0:
-            take = min(step, n, room // l)
-            if take <= 0:
-                break
+        while n > 0 and (take := min(step, n, room // l)) > 0:
             items.append((l, take))
             n -= take
             step *= 2
@@ -176,6 +229,8 @@ def _fullest(left: dict[int, int], capacity: int) -> dict[int, int]:
         masks.append(reach)
         reach |= (reach << (l * take)) & limit
     fill = reach.bit_length() - 1
+    if fill < room and len(usable) == most:
+        return _fullest(left, capacity, capacity)
     found = {largest: 1}
     for (l, take), before in zip(reversed(items), reversed(masks)):
         size = l * take
@@ -209,7 +264,7 @@ def packing_plan(counts: Mapping[int, int], capacity: int = CAPACITY, rounds: in
                 left[l] -= a * times
     left = {l: n for l, n in left.items() if n}
     while left:
-        found = _fullest(left, capacity)
+        found = _fullest(left, capacity, FILLERS)
         times = min(left[l] // a for l, a in found.items())
         plan.append((found, times))
         for l, a in found.items():

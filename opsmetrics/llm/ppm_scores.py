@@ -22,7 +22,7 @@ LOW_ORDER = 2
 END, BEFORE = 0xFF, 0xFE
 SYMBOLS = 256
 # The share of each count that is left to escapes.
-ESCAPE = 0.5
+ESCAPE = 0.35
 
 # Documents are looked up together in blocks of about so many bytes.
 BLOCK_BYTES = 8 << 20
