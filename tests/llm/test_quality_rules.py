@@ -1,0 +1,59 @@
+from collections import Counter
+
+from opsmetrics.llm.quality_rules import judge_documents, quality_report
+from opsmetrics.llm.queries import op7_quality_outliers
+from tests.llm.conftest import SF
+from tests.llm.rows import CLASHING, awkward, clashing, frame, plain_words
+
+
+def plain_counts(text):
+    words = plain_words(text)
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    covered = set()
+    for i in range(len(words) - 4):
+        if windows[tuple(words[i : i + 5])] > 1:
+            covered.update(range(i, i + 5))
+    lines = [x for x in (text or "").split("\n") if plain_words(x)]
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""),
+        len(lines) - len(set(lines)), len(covered),
+    )
+
+
+def check(rows, texts):
+    for r in rows:
+        want = plain_counts(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (want[0] < 10 or 100 * want[4] > 20 * want[0])
+        assert not (r.base_failed and r.kept)
+
+
+def test_counts_and_verdicts(spark, texts):
+    rows = op7_quality_outliers(spark, SF).collect()
+    assert len(rows) == len(texts)
+    check(rows, texts)
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    judged = [r for r in rows if r.doc_id in quality and not r.base_failed]
+    assert all(r.kept == bool(quality[r.doc_id]) for r in judged)
+
+
+def test_awkward_rows(spark):
+    rows = quality_report(frame(spark)).collect()
+    assert len(rows) == 17
+    check([r for r in rows if r.doc_id is not None], dict((r[0], r[1]) for r in awkward()))
+
+
+def test_a_planted_outlier_goes_and_its_like_stay(spark):
+    clean = " ".join(f"plain{i} words" for i in range(40))
+    rows = [(i, f"{clean} end{i}", "en", "a", None) for i in range(80)]
+    rows.append((99, clean.replace(" ", "### "), "en", "a", None))
+    found = {r.doc_id: r.kept for r in quality_report(frame(spark, rows)).collect()}
+    assert found.pop(99) is False
+    assert all(found.values())
+
+
+def test_empty_table_and_other_columns(spark):
+    assert quality_report(frame(spark, [])).count() == 0
+    wide = judge_documents(clashing(frame(spark)))
+    assert set(CLASHING) <= set(wide.columns)
+    assert wide.filter("size <> 'theirs'").isEmpty() and wide.count() == 17
