@@ -113,9 +113,10 @@ def _words(data: np.ndarray, kinds: np.ndarray, starts: np.ndarray) -> np.ndarra
     row = np.searchsorted(starts, begins, side="right") - 1
     same = np.zeros(len(word), dtype=np.int64)
     same[1:] = (word[1:] == word[:-1]) & (row[1:] == row[:-1])
+    # Repetitions of a row before the word do not count for the next row.
     three = same.copy()
-    three[1:] |= same[:-1] << 1
-    three[2:] |= same[:-2] << 2
+    three[1:] |= (same[:-1] << 1) * (row[1:] == row[:-1])
+    three[2:] |= (same[:-2] << 2) * (row[2:] == row[:-2])
     number = (word * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
     return np.unique(
         np.concatenate([row * FEATURES + REPEAT_BASE + three, row * FEATURES + WORD_BASE + number])

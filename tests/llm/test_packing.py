@@ -1,0 +1,91 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from opsmetrics.llm.packing import WordIds, pack_documents, packing_plan
+from opsmetrics.llm.queries import op3_packed_sequences
+from tests.llm.conftest import SF
+from tests.llm.rows import awkward, clashing, frame
+
+FILE = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(FILE)
+
+
+def plain_pieces(tokenizer, text, capacity):
+    ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], dtype="<u4")
+    for start in range(0, len(ids), capacity):
+        piece = ids[start : start + capacity]
+        yield start // capacity, start, len(piece), zlib.crc32(piece.tobytes())
+
+
+def check(rows, texts, tokenizer, capacity, slack=1.01):
+    want = sorted(
+        (str(d), *p) for d, t in texts for p in plain_pieces(tokenizer, t, capacity)
+    )
+    assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    least = -(-sum(r.length for r in rows) // capacity)
+    assert len(sequences) <= max(least + 1, slack * least)
+
+
+def test_whole_table(spark, texts, tokenizer):
+    check(op3_packed_sequences(spark, SF).collect(), texts.items(), tokenizer, 4096)
+
+
+def test_awkward_rows(spark, tokenizer):
+    rows = awkward()
+    found = pack_documents(clashing(frame(spark)), FILE).collect()
+    check(found, [(r[0], r[1]) for r in rows], tokenizer, 4096)
+    assert pack_documents(frame(spark, []), FILE).count() == 0
+    copies = [(1, "a b c", None, None, None)] * 500
+    check(pack_documents(frame(spark, copies), FILE, 64).collect(), [(1, "a b c")] * 500, tokenizer, 64)
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(
+        st.sampled_from(
+            ["Word.", "İstanbul,", "ΣΟΦΟΣ", "don't", "été", "́x", "<|endoftext|>",
+             "<|ENDOFTEXT|>", "\x1c", "a\xa0b", "ﬁn", "ǅ,", "中文.", "ß", "x²", "Éa.", "...", "日", "🙂"]
+        )
+        | st.text(max_size=6),
+        max_size=8,
+    ).map(" ".join)
+)
+def test_ids_of_words_are_ids_of_the_text(text):
+    words = WordIds(FILE)
+    ids = words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(words.of(text), "<u4").tolist() == ids
+
+
+def test_plan_holds_every_length_once():
+    random = np.random.default_rng(5)
+    for n, capacity in ((0, 50), (1, 50), (40, 50), (3000, 200), (50_000, 512)):
+        lengths = np.minimum(random.lognormal(3.5, 1.0, n).astype(int) + 1, capacity)
+        counts = {int(l): int(c) for l, c in zip(*np.unique(lengths, return_counts=True))}
+        held = defaultdict(int)
+        for configuration, times in packing_plan(counts, capacity):
+            assert times > 0 and sum(l * a for l, a in configuration.items()) <= capacity
+            for l, a in configuration.items():
+                held[l] += a * times
+        assert dict(held) == counts
+        sequences = sum(t for _, t in packing_plan(counts, capacity))
+        assert sequences <= -(-int(lengths.sum()) // capacity) + 2

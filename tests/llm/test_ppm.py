@@ -1,0 +1,97 @@
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import opsmetrics.llm.ppm_scores as ppm
+from opsmetrics.llm.ppm_scores import ESCAPE, ORDER, score_texts
+from opsmetrics.llm.queries import op6_ppm_scores
+from tests.llm.conftest import SF
+from tests.llm.rows import clashing, frame
+
+
+def held_out(name):
+    return zlib.crc32(("" if name is None else str(name)).encode()) % 7 == 2
+
+
+class PlainModel:
+    def __init__(self, texts):
+        self.counts = [defaultdict(Counter) for _ in range(ORDER + 1)]
+        self.words = Counter()
+        for text in texts:
+            self.words.update(self.tokens(text))
+            data = self.data(text)
+            for i in range(ORDER, len(data)):
+                for k in range(ORDER + 1):
+                    self.counts[k][data[i - k : i]][data[i]] += 1
+
+    @staticmethod
+    def tokens(text):
+        return [*(text or "").encode().lower().split(), b"\xff"]
+
+    def data(self, text):
+        *words, end = self.tokens(text)
+        return b"\xfe" * ORDER + b"".join(w + b" " for w in words) + end
+
+    def base(self, text):
+        total = sum(self.words.values()) + len(self.words) + 1
+        return sum(math.log10((self.words[w] + 1) / total) for w in self.tokens(text))
+
+    def symbol(self, data, i):
+        gone, result = set(), 0.0
+        for k in range(ORDER, -1, -1):
+            seen = self.counts[k].get(data[i - k : i], {})
+            left = {s: n for s, n in seen.items() if s not in gone}
+            if left:
+                total = sum(left.values())
+                if data[i] in left:
+                    return result + math.log10((left[data[i]] - ESCAPE) / total)
+                result += math.log10(ESCAPE * len(left) / total)
+            gone |= set(seen)
+        return result - math.log10(256 - len(gone))
+
+    def score(self, text):
+        data = self.data(text)
+        return sum(self.symbol(data, i) for i in range(ORDER, len(data)))
+
+
+def check(rows, model, texts, scored):
+    for r in rows:
+        text = texts[r.doc_id]
+        tokens = model.tokens(text)
+        assert r.n_tokens == len(tokens) and r.train_tokens == sum(model.words.values())
+        assert r.n_known == sum(model.words[w] > 0 for w in tokens)
+        assert r.base_score == pytest.approx(model.base(text), rel=1e-9)
+        if r.doc_id in scored:
+            assert r.score == pytest.approx(model.score(text), rel=1e-6)
+
+
+def test_whole_table(spark, texts):
+    rows = op6_ppm_scores(spark, SF).collect()
+    assert len(rows) == len(texts)
+    assert all(r.held_out == held_out(r.doc_id) for r in rows)
+    model = PlainModel(t for d, t in texts.items() if not held_out(d))
+    check(rows, model, texts, set(list(texts)[:60]))
+
+
+def test_blocks_and_awkward_rows(spark, monkeypatch):
+    monkeypatch.setattr(ppm, "BLOCK_BYTES", 3000)
+    rows = [
+        (None, None, None, None, None), (1, "", None, None, None), (2, "Aa aa\x0bAA", None, None, None),
+        (3, "é 😀 x", None, None, None), (4, "w" * 9000 + " end", None, None, None),
+        (5, " ".join(f"w{i % 37}" for i in range(2000)), None, None, None),
+    ] + [(6, "the same text again", None, None, None)] * 5
+    texts = {r[0]: r[1] for r in rows}
+    trained = F.col("doc_id").isin(2, 4, 5, 6)
+    model = PlainModel([r[1] for r in rows if r[0] in (2, 4, 5, 6)])
+    found = score_texts(clashing(frame(spark, rows)).drop("score"), trained).collect()
+    assert len(found) == len(rows)
+    check(found, model, texts, set(texts))
+
+
+def test_without_training_or_rows(spark):
+    rows = score_texts(frame(spark, [(1, "ab", None, None, None)]), F.lit(False)).collect()
+    assert rows[0].score == pytest.approx(-4 * math.log10(256)) and rows[0].train_tokens == 0
+    assert score_texts(frame(spark, []), F.lit(True)).count() == 0
