@@ -25,9 +25,10 @@ SYMBOLS = 256
 ESCAPE = 0.35
 
 # Documents are looked up together in blocks of about so many bytes.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 MOST_RANGES = 4096
 _WORD_PLACES = 4096
+_STEP = 100_000
 _FACTORS = (
     np.random.default_rng(1).integers(1, 2**62, _WORD_PLACES, dtype=np.uint64) * np.uint64(2)
     + np.uint64(1)
@@ -45,34 +46,44 @@ class Stream:
         for text in texts:
             words = (text or b"").lower().split()
             parts.append(start + b" ".join(words) + (b" " if words else b"") + end)
-        data = np.frombuffer(b"".join(parts), dtype=np.uint8)
         lengths = np.array([len(p) for p in parts], dtype=np.int64)
-        row = np.repeat(np.arange(len(parts)), lengths)
-        self.rows = len(parts)
-        self.real = np.flatnonzero(data != BEFORE)
-        self.row = row[self.real]
-        wide = data.astype(np.uint64)
-        keys = wide.copy()
+        data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+        del parts
+        self.rows = len(lengths)
+        keys = data.astype(np.uint64)
         for k in range(1, ORDER + 1):
-            keys[k:] |= wide[:-k] << np.uint64(8 * k)
-        #: Context and next byte of each position.
-        self.keys = keys[self.real]
-        real = data[self.real]
-        last = (real == 0x20) | (real == END)
-        first = np.concatenate(([True], last[:-1])) if len(real) else np.empty(0, bool)
+            shifted = data[:-k].astype(np.uint64)
+            shifted <<= np.uint64(8 * k)
+            keys[k:] |= shifted
+        real = data != BEFORE
+        #: Context and next byte of each position, and its row.
+        self.keys = keys[real]
+        del keys
+        self.row = np.repeat(np.arange(self.rows, dtype=np.int32), lengths - ORDER)
+        data = data[real]
+        last = (data == 0x20) | (data == END)
+        first = np.concatenate(([True], last[:-1])) if len(data) else np.empty(0, bool)
         begins = np.flatnonzero(first)
-        place = np.arange(len(real)) - np.repeat(begins, np.diff(np.append(begins, len(real))))
-        values = (real.astype(np.uint64) + np.uint64(1)) * _FACTORS[place & (_WORD_PLACES - 1)]
-        values = (values ^ (values >> np.uint64(29))) * _MIX
         #: A hash per token, words and ends, and the row of each.
-        self.tokens = np.add.reduceat(values, begins) if len(begins) else np.empty(0, np.uint64)
         self.token_row = self.row[begins]
+        self.tokens = np.empty(len(begins), dtype=np.uint64)
+        # Tokens are hashed in steps: place and value of a byte take eight bytes each.
+        for start in range(0, len(begins), _STEP):
+            own = begins[start : start + _STEP]
+            stop = begins[start + _STEP] if start + _STEP < len(begins) else len(data)
+            place = np.arange(own[0], stop) - np.repeat(own, np.diff(np.append(own, stop)))
+            values = data[own[0] : stop].astype(np.uint64) + np.uint64(1)
+            values *= _FACTORS[place & (_WORD_PLACES - 1)]
+            values ^= values >> np.uint64(29)
+            values *= _MIX
+            self.tokens[start : start + _STEP] = np.add.reduceat(values, own - own[0])
 
 
 def _counted(values: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values, ascending, and how often each occurs in training."""
     seen, counts = np.unique(values[trained], return_counts=True)
-    every = np.union1d(seen, np.unique(values[~trained]))
+    other = np.unique(values[~trained])
+    every = np.union1d(seen, other)
     total = np.zeros(len(every), dtype=np.int64)
     total[np.searchsorted(every, seen)] = counts
     return every, total
