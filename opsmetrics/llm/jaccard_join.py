@@ -32,7 +32,9 @@ PAIRED = 8
 # Largest expected block of sets that is searched at once.
 BLOCK_SETS = 1024
 BLOCK_TOKENS = 1_000_000
-_FLUSH = 4_000_000
+# Tokens that a task holds before it packs them, and words that it hashes at once.
+_FLUSH = 2_000_000
+_AT_ONCE = 200_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
@@ -58,15 +60,21 @@ def shingle_sets(batch: pa.RecordBatch, length: int) -> Iterator[np.ndarray]:
     fewer words the whole sequence is one, without words there is none."""
     lists = batch.column("hashes")
     edges = lists.offsets.to_numpy()
-    values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    words = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
     factors = _factors(length)
-    count = max(0, len(values) - length + 1)
-    sums = np.zeros(count, dtype=np.uint64)
-    for k in range(length):
-        sums += values[k : k + count] * factors[k]
-    sums = _mixed(sums)
+    # A few rows at a time: the intermediate arrays are several times their size.
+    done = sums = 0
     for row in range(len(lists)):
-        a, b = edges[row], edges[row + 1]
+        if row >= done:
+            first = edges[row]
+            done = max(row + 1, int(np.searchsorted(edges, first + _AT_ONCE, side="right")) - 1)
+            values = words[first : edges[min(done, len(lists))]]
+            count = max(0, len(values) - length + 1)
+            sums = np.zeros(count, dtype=np.uint64)
+            for k in range(length):
+                sums += values[k : k + count] * factors[k]
+            sums = _mixed(sums)
+        a, b = edges[row] - first, edges[row + 1] - first
         if b - a >= length:
             found = np.sort(sums[a : b - length + 1])
             yield found[np.concatenate(([True], found[1:] != found[:-1]))]
