@@ -54,3 +54,12 @@ UNREACHABLE_CPU = "Connection Failed"
 UNREACHABLE_OTHER = "N/A"
 
 # ---------------------------------------------------------------------------
+
+# Measures of the host report that are shown with two decimals.
+ROUNDED = [
+    "cpu_usage_percent",
+    "used_ram_gb",
+    "total_ram_gb",
+    "used_disk_gb",
+    "used_disk_percent",
+]

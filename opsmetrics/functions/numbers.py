@@ -64,16 +64,17 @@ def used_percent(used: Column, total: Column, infinite: str = "zero") -> Column:
 
 
 def bytes_to_tb(byte_count: Column) -> Column:
-    """Whole bytes -> TB (2**40 bytes) with two decimals, half to even on the
-    exact value. Integer arithmetic below 2**63 bytes, so no tie is misjudged."""
-    as_double = byte_count.cast("double")
-    whole = as_double.try_cast("bigint")
-    tb = F.shiftright(whole, 40)
-    scaled = whole.bitwiseAND(F.lit(2**40 - 1)) * 100
+    """Whole bytes -> TB (2**40 bytes) with two decimals, half to even on the exact
+    value of the count as a double. Integer arithmetic, so no tie is misjudged;
+    from 2**46 TB on, a double has no second decimal and stays as it is."""
+    tb = byte_count.cast("double") / 2.0**40  # exact: a power of two
+    small = F.when(F.abs(tb) < 2.0**46, tb)
+    whole = F.floor(small)
+    scaled = ((small - whole) * 2.0**40).cast("bigint") * 100
     hundredths = F.shiftright(scaled, 40)
     rest = scaled.bitwiseAND(F.lit(2**40 - 1))
     half = F.lit(2**39)
     odd = hundredths.bitwiseAND(F.lit(1)) == 1
     up = F.when((rest > half) | ((rest == half) & odd), F.lit(1)).otherwise(F.lit(0))
-    exact = (tb * 100 + hundredths + up).cast("double") / 100.0
-    return F.when(F.abs(as_double) < 2.0**63, exact).otherwise(round_half_even(as_double / 2.0**40))
+    exact = (whole * 100 + hundredths + up).cast("double") / 100.0
+    return F.coalesce(exact, tb)

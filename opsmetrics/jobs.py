@@ -1,15 +1,18 @@
 """The scheduled jobs: one command per collection or report.
 
-    python -m opsmetrics.jobs collect-metrics SAMPLES HISTORY [--hosts HOSTS]
+    python -m opsmetrics.jobs collect-metrics SAMPLES HISTORY [--hosts HOSTS] [--broken FOLDER]
     python -m opsmetrics.jobs host-report HISTORY REPORTS [--as-of TIME]
     python -m opsmetrics.jobs snapshot-report REPORTS LEAD=PATH [SHEET=PATH ...]
-    python -m opsmetrics.jobs storage-report TEXTS REPORTS
+    python -m opsmetrics.jobs storage-report TEXTS REPORTS [--by-lines]
     python -m opsmetrics.jobs lock-report LOCKS REPORTS
-    python -m opsmetrics.jobs collect-status DOCUMENTS HISTORY
+    python -m opsmetrics.jobs collect-status DOCUMENTS HISTORY [--broken FOLDER]
     python -m opsmetrics.jobs service-grid HISTORY REPORTS [--as-of TIME]
 
 A history or lock table is a folder, a catalog table, or JDBC options as JSON.
-Every command prints the number of rows it wrote. On a cluster, lock-report and
+Every command prints the number of rows it wrote, and a collection how many lines
+or documents it could not read; those are kept in the folder of --broken, by
+default one beside the landed files. Without --as-of the instant of the run is
+taken once, at its start, in UTC. On a cluster, lock-report and
 service-grid need spark.checkpoint.dir.
 """
 
@@ -18,15 +21,15 @@ from __future__ import annotations
 import argparse
 import json
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from opsmetrics.operators.locks import numbered_locks
 from opsmetrics.operators.probes import with_unreachable
 from opsmetrics.plans import reports
 from opsmetrics.session import build_session
-from opsmetrics.sinks.tables import append_metrics, append_status, write_report
+from opsmetrics.sinks.tables import append_metrics, append_status, quarantine, write_report
 from opsmetrics.sources import files, tables
 
 
@@ -52,14 +55,19 @@ def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
 
     collect = command("collect-metrics", "samples", "history")
     collect.add_argument("--format", choices=["json", "csv"], default="json")
+    collect.add_argument("--broken", help="folder for lines that cannot be read")
     collect.add_argument("--hosts", help="CSV of server_name, ip: every host gets a row")
     command("host-report", "history", "reports")
     command("snapshot-report", "reports").add_argument(
         "sheets", nargs="+", help="name=path, the lead sheet first"
     )
-    command("storage-report", "texts", "reports")
+    command("storage-report", "texts", "reports").add_argument(
+        "--by-lines", action="store_true", help="read splits of files, for reports of any size"
+    )
     command("lock-report", "locks", "reports")
-    command("collect-status", "documents", "history").add_argument(
+    states = command("collect-status", "documents", "history")
+    states.add_argument("--broken", help="folder for documents that cannot be read")
+    states.add_argument(
         "--one-per-line", action="store_true", help="one document per line, not per file"
     )
     grid = command("service-grid", "history", "reports")
@@ -69,15 +77,24 @@ def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
 
 def run(spark: SparkSession, options: argparse.Namespace) -> int:
     """Run one command and return the number of rows it wrote."""
-    as_of = options.as_of
+    as_of = options.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+
+    def keep_broken(lines: DataFrame, landed: str) -> None:
+        folder = options.broken or f"{landed.rstrip('/')}-broken"
+        print(f"{options.command}: {quarantine(lines, folder)} not read, kept in {folder}")
+
     if options.command == "collect-metrics":
-        samples = files.read_probe_samples(spark, options.samples, options.format)
+        lines = files.read_probe_lines(spark, options.samples, options.format)
+        keep_broken(lines, options.samples)
+        samples = files.whole(lines)
         if options.hosts:
             hosts = spark.read.option("header", True).csv(options.hosts)
             samples = with_unreachable(samples, hosts.select("server_name", "ip"))
         return append_metrics(reports.host_metrics(samples, as_of), options.history)
     if options.command == "collect-status":
-        services = files.read_service_snapshots(spark, options.documents, options.one_per_line)
+        documents = files.read_service_documents(spark, options.documents, options.one_per_line)
+        keep_broken(documents, options.documents)
+        services = files.flatten_services(files.whole(documents))
         return append_status(reports.service_statuses(services, as_of), options.history)
 
     if options.command == "host-report":
@@ -86,14 +103,17 @@ def run(spark: SparkSession, options: argparse.Namespace) -> int:
         sheets = dict(sheet.split("=", 1) for sheet in options.sheets)
         report = reports.snapshot_report(files.read_snapshot_sheets(spark, sheets), next(iter(sheets)))
     elif options.command == "storage-report":
-        report = reports.storage_report(files.read_text_reports(spark, options.texts))
+        if options.by_lines:
+            report = reports.storage_report_lines(files.read_report_lines(spark, options.texts))
+        else:
+            report = reports.storage_report(files.read_text_reports(spark, options.texts))
     elif options.command == "lock-report":
         report = numbered_locks(tables.read_locks(spark, options.locks))
     else:
         report = reports.service_grid(
             tables.read_status_history(spark, options.history), as_of, options.on_duplicate
         )
-    return write_report(report, options.reports, as_of or datetime.now())
+    return write_report(report, options.reports, as_of)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsmetrics.functions.times import day_text
@@ -13,6 +13,10 @@ from opsmetrics.operators.numbering import number_rows
 MISSING = "N/A"
 
 
+def _twice(key: Column, date: Column) -> Column:
+    return F.concat(F.lit("more than one row for "), key.cast("string"), F.lit(" on "), date)
+
+
 def status_grid(
     df: DataFrame,
     key: str,
@@ -37,10 +41,7 @@ def status_grid(
     )
     state = F.col("_latest._state")
     if on_duplicate == "error":
-        message = F.concat(
-            F.lit("more than one row for "), F.col(key).cast("string"),
-            F.lit(" on "), day_text(F.col("_day")),
-        )
+        message = _twice(F.col(key), day_text(F.col("_day")))
         state = F.when(F.col("_rows") > 1, F.raise_error(message)).otherwise(state)
     return cells.select(
         key,
@@ -64,36 +65,65 @@ def grid_dates(df: DataFrame, ts: str) -> list[str]:
 
 
 def wide_grid(
-    long_grid: DataFrame, key: str, value: str, dates: Sequence[str]
+    df: DataFrame,
+    key: str,
+    ts: str,
+    value: str,
+    dates: Sequence[str],
+    on_duplicate: str = "latest",
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per key, one column per day, keys ascending; absent cells become
-    N/A."""
+    """`status_grid` with one row per key and one column per day of `dates`, keys
+    ascending; absent cells are N/A.
+
+    As the days are known, rows are grouped by key once, with the state of each
+    day as an aggregate of its own: one row per key leaves each map task.
+    """
+    if on_duplicate not in ("error", "latest"):
+        raise ValueError("on_duplicate must be 'error' or 'latest'")
+    polls = df.filter(F.col(ts).isNotNull())
     if not dates:
-        return long_grid.select(key).distinct().orderBy(key)
-    wide = long_grid.groupBy(key).pivot("date", list(dates)).agg(F.first(value))
-    return wide.fillna(MISSING, subset=list(dates)).orderBy(key)
+        return polls.select(key).distinct().orderBy(key)
+    row = F.struct(F.col(ts), *tiebreak, F.col(value).alias("_state"))
+    on_day = [F.to_date(ts) == F.lit(day).cast("date") for day in dates]
+    cells = polls.groupBy(F.col(key)).agg(
+        *[F.max(F.when(day, row)).alias(f"_latest{x}") for x, day in enumerate(on_day)],
+        *[
+            F.count(F.when(day, F.lit(1))).alias(f"_rows{x}")
+            for x, day in enumerate(on_day)
+            if on_duplicate == "error"
+        ],
+    )
+
+    def state(x: int, date: str) -> Column:
+        found = F.coalesce(F.col(f"_latest{x}._state"), F.lit(MISSING))
+        if on_duplicate == "error":
+            message = _twice(F.col(key), F.lit(date))
+            found = F.when(F.col(f"_rows{x}") > 1, F.raise_error(message)).otherwise(found)
+        return found.alias(date)
 
+    return cells.select(key, *[state(x, d) for x, d in enumerate(dates)]).orderBy(key)
 
-def to_cells(df: DataFrame, row_key: str, value_columns: Sequence[str]) -> DataFrame:
-    """A wide grid as cells (row_key, column_name, value, x, y).
 
-    x counts columns from the left, y rows from the bottom: the first key in
-    ascending order has the greatest y.
+def to_cells(long_grid: DataFrame, row_key: str, value: str) -> DataFrame:
+    """A long grid (row_key, `date`, value) as dense cells (row_key, column_name,
+    value, x, y): N/A where a key has no row on a day that others have.
+
+    x counts days from the left, y keys from the bottom: the first key in
+    ascending order has the greatest y. Only the distinct keys are numbered;
+    the cells of a key are made from its own states and the array of all days,
+    a scalar, so any number of days will do.
     """
-    if not value_columns:
-        empty = df.filter(F.lit(False))
-        return empty.select(
-            row_key,
-            *[F.lit("").alias(c) for c in ("column_name", "value")],
-            F.lit(0).alias("x"),
-            F.lit(0).cast("bigint").alias("y"),
-        )
-    numbered = number_rows(df, [F.col(row_key).desc()], name="y")
-    triples = [
-        part
-        for x, column in enumerate(value_columns)
-        for part in (F.lit(x), F.lit(column), F.col(f"`{column}`"))
-    ]
-    return numbered.select(
-        row_key, "y", F.stack(F.lit(len(value_columns)), *triples).alias("x", "column_name", "value")
-    ).select(row_key, "column_name", "value", "x", "y")
+    days = long_grid.agg(F.array_sort(F.collect_set("date"))).scalar()
+    states = long_grid.groupBy(F.col(row_key)).agg(
+        F.map_from_entries(F.collect_list(F.struct("date", F.col(value)))).alias("_states")
+    )
+    numbered = number_rows(
+        long_grid.select(F.col(row_key).alias("_key")).distinct(), [F.col("_key").desc()], name="y"
+    )
+    placed = states.join(numbered, F.col(row_key).eqNullSafe(F.col("_key")))
+    dense = placed.select(row_key, "_states", "y", F.posexplode(days).alias("x", "column_name"))
+    state = F.try_element_at("_states", F.col("column_name"))
+    return dense.select(
+        row_key, "column_name", F.coalesce(state, F.lit(MISSING)).alias("value"), "x", "y"
+    )

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from opsmetrics.functions.times import as_of_column, is_naive, minute_text
 
+# Dates of one instant in two time zones differ by so many days at most.
+ZONE_DAYS = 2
+
 # Types of which Spark can keep the greatest in a hash table.
 FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -36,12 +39,14 @@ def recent(
 
     There is no upper bound: rows stamped in the future stay. The cutoff is a
     constant, so it reaches the scan; with `date_column`, the date partition
-    column of the history, older partitions are not listed at all.
+    column of the history, older partitions are not listed at all. The writer
+    may have taken its dates in another time zone: they differ from the dates
+    here by two days at most, and so much more is read.
     """
     cutoff = as_of_column(as_of, is_naive(df, ts)) - F.expr(f"INTERVAL '{int(days)}' DAY")
     kept = F.col(ts) >= cutoff
     if date_column:
-        kept = kept & (F.col(date_column) >= F.to_date(cutoff))
+        kept = kept & (F.col(date_column) >= F.date_sub(F.to_date(cutoff), ZONE_DAYS))
     return df.filter(kept)
 
 
@@ -50,17 +55,18 @@ def latest_per_key(
     keys: Sequence[str],
     ts: str,
     tiebreak: Sequence[str] = (),
+    unique_times: bool = False,
 ) -> DataFrame:
     """The row with the greatest `ts` per key; rows without key or time drop out.
 
     Equal times are settled by the greatest `tiebreak`, then by the other
-    columns. Without a tie-break, and with numbers and times only, one of them
-    is taken, as a whole row.
+    columns in their order, a missing value being the least.
 
     One row per key leaves each map task, so a key holding most of the rows
-    shuffles no more than any other. Numbers and times are kept per column in
-    a hash table, without sorting the rows. Any other row travels as its own
-    sort key: `max_by` of a struct would carry its time and tie-break twice.
+    shuffles no more than any other. A row travels as its own sort key:
+    `max_by` of a struct would carry its time and tie-break twice. Where the
+    caller knows that no key has a time twice (`unique_times`), numbers and
+    times are kept per column in a hash table, without sorting the rows.
     """
     keys = list(keys)
     order = [ts, *tiebreak]
@@ -69,7 +75,7 @@ def latest_per_key(
         df = df.filter(F.col(name).isNotNull())
     rows = df.groupBy(*keys)
     fixed = all(isinstance(f.dataType, FIXED_WIDTH) for f in df.schema if f.name in rest)
-    if fixed and not tiebreak:
+    if fixed and unique_times:
         newest = rows.agg(F.max(ts).alias(ts), *[F.max_by(c, ts).alias(c) for c in rest])
     else:
         whole = rows.agg(F.max(F.struct(*order, *rest)).alias("_latest"))

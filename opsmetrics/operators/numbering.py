@@ -34,8 +34,9 @@ def number_rows(
 
     Rows are range-partitioned, sorted and numbered within their partition;
     the sizes of the preceding partitions are added afterwards. Rows equal in
-    the order are ordered by their other columns, which also spreads a value
-    that many rows share over several partitions. The sorted rows are
+    the order are ordered by their other columns and, if they agree in all of
+    them, by their place in the input, which also spreads a value that many
+    rows share over several partitions. The sorted rows are
     checkpointed, since sampled range bounds and row places must be the same
     for both uses; this runs a job when called.
     """
@@ -46,9 +47,12 @@ def number_rows(
         for field in df.schema
         if field.name not in named and isinstance(field.dataType, ORDERED)
     ]
+    keys.append(F.col("_arrived"))
     placed = cut_lineage(
-        df.repartitionByRange(*keys)
+        df.withColumn("_arrived", F.monotonically_increasing_id())
+        .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
+        .drop("_arrived")
         .withColumn("_place", F.monotonically_increasing_id())
     )
     rows = placed.select(

@@ -16,27 +16,19 @@ from opsmetrics.fixed_values import (
     DISPLAY_NAMES,
     GROUP_PATTERNS,
     HOST_ORDER,
+    ROUNDED,
     SNAPSHOT_LEVELS,
     STATE_PALETTE,
 )
 from opsmetrics.functions.numbers import round_half_even, to_number, used_percent
 from opsmetrics.functions.times import parse_day_first, pin_report_hour
-from opsmetrics.operators.grid import grid_dates, status_grid, to_cells, wide_grid
+from opsmetrics.operators.grid import status_grid, to_cells
 from opsmetrics.operators.history import latest_per_key, latest_snapshot, recent, stamp
-from opsmetrics.operators.hosts import assign_group, display_names
+from opsmetrics.operators.hosts import assign_group, display_names, host_dimension
 from opsmetrics.operators.levels import classify_levels, classify_states
-from opsmetrics.operators.storage import scan_report, usage_shares, usage_tb
+from opsmetrics.operators.storage import scan_report, scan_report_lines, usage_shares, usage_tb
 from opsmetrics.schemas import MEASURES, METRIC_HISTORY, RECORD_DATE
 
-ROUNDED = [
-    "cpu_usage_percent",
-    "used_ram_gb",
-    "total_ram_gb",
-    "used_disk_gb",
-    "used_disk_percent",
-]
-
-
 def host_metrics(samples: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
     """Probe samples -> rows of the metric history. One narrow stage.
 
@@ -66,13 +58,15 @@ def host_report(
     shown at 08:00 of its day, with a colour for high disk use.
 
     The latest row is chosen by its real time; only the shown time is pinned.
+    Hosts that are not listed go before the shuffle.
     """
+    if not isinstance(hosts, DataFrame):
+        hosts = host_dimension(history, "server_name", hosts)
     date_column = RECORD_DATE if RECORD_DATE in history.columns else None
     window = recent(history, "datetime_record", as_of, days, date_column)
     columns = [*METRIC_HISTORY.fieldNames(), *tiebreak]
-    latest = latest_per_key(
-        window.select(*columns), ["server_name"], "datetime_record", tiebreak
-    )
+    listed = window.select(*columns).join(hosts.select("server_name"), "server_name", "left_semi")
+    latest = latest_per_key(listed, ["server_name"], "datetime_record", tiebreak)
     shown = latest.withColumns(
         {
             "datetime_record": pin_report_hour(F.col("datetime_record")),
@@ -120,12 +114,16 @@ def service_grid(
     """
     date_column = RECORD_DATE if RECORD_DATE in history.columns else None
     window = recent(history, "timestamp", as_of, days, date_column)
-    dates = grid_dates(window, "timestamp")
     grid = status_grid(window, "service_name", "timestamp", "health_status", on_duplicate)
-    wide = wide_grid(grid, "service_name", "health_status", dates)
-    return classify_states(to_cells(wide, "service_name", dates), "value", palette)
+    return classify_states(to_cells(grid, "service_name", "health_status"), "value", palette)
 
 
 def storage_report(reports: DataFrame, report_id: str = "report_id", txt: str = "txt") -> DataFrame:
     """Storage report texts -> used and remaining TB with their shares."""
     return usage_shares(usage_tb(scan_report(reports, report_id, txt)))
+
+
+def storage_report_lines(lines: DataFrame, report_id: str = "report_id") -> DataFrame:
+    """The same for reports of any size, as `read_report_lines` gives them."""
+    counters = scan_report_lines(lines, report_id, "line_no", "line", F.col("piece"))
+    return usage_shares(usage_tb(counters))

@@ -62,5 +62,8 @@ STATUS_HISTORY = T.StructType(
     ]
 )
 
+# Holds a line or document that could not be read.
+BROKEN = "broken"
+
 # Partition column of both histories, derived from the time of the row.
 RECORD_DATE = "record_date"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Sequence
 
@@ -48,18 +50,28 @@ def dimension(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType)
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with its machine.
+    Only a local session without that setting gets a folder of its own, which
+    goes when the program ends; on a cluster a machine-local folder would be
+    lost with its machine. A folder that the setting names is the caller's to
+    clear.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="opsmetrics-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there, on whatever file system it is."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(location, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise `df` reliably, so that every later use sees the same rows in
     the same partitions even after executors are lost."""

@@ -12,7 +12,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from opsmetrics.schemas import RECORD_DATE, STATUS_HISTORY
+from opsmetrics.schemas import BROKEN, RECORD_DATE, STATUS_HISTORY
+from opsmetrics.session import remove_folder
 
 Target = str | Mapping[str, str]
 
@@ -76,8 +77,9 @@ def create_status_table(spark: SparkSession, table: str) -> None:
 
 
 def append_status(df: DataFrame, target: Target, rebalance: bool = False) -> int:
-    """Append service states. All three columns are required: a row without
-    one fails the job, and its commit, so that nothing is written."""
+    """Append service states. All three columns are required: a row without one
+    fails the job. Into a folder or catalog table nothing is written then; over
+    JDBC, Spark commits each partition by itself, so others may have been."""
     names = STATUS_HISTORY.fieldNames()
     if isinstance(target, str) and "/" not in target:
         create_status_table(df.sparkSession, target)
@@ -90,15 +92,34 @@ def write_report(df: DataFrame, path: str, report_ts: datetime) -> int:
 
     Each run is one `report_ts` partition. A rerun with the same time replaces
     its partition and no other, so a retried job leaves one copy; a report
-    without rows writes none.
+    without rows leaves none.
     """
     counted = Observation("rows")
+    name = report_ts.strftime(REPORT_NAME_FORMAT)
     (
         df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .withColumn("report_ts", F.lit(report_ts.strftime(REPORT_NAME_FORMAT)))
+        .withColumn("report_ts", F.lit(name))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("report_ts")
         .parquet(path)
     )
+    rows = counted.get["rows"]
+    if not rows:
+        remove_folder(df.sparkSession, f"{path}/report_ts={name}")
+    return rows
+
+
+def quarantine(lines: DataFrame, path: str) -> int:
+    """Append what could not be read (`broken` is not missing) to a folder, and
+    return how many lines or documents that were."""
+    counted = Observation("broken")
+    (
+        lines.filter(F.col(BROKEN).isNotNull())
+        .select(F.col(BROKEN), F.current_timestamp().alias("found_at"), F.to_json(
+            F.struct(*[c for c in lines.columns if c != BROKEN])
+        ).alias("read_as"))
+        .observe(counted, F.count(F.lit(1)).alias("rows"))
+        .write.mode("append").parquet(path)
+    )
     return counted.get["rows"]

@@ -21,8 +21,13 @@ from opsmetrics.operators.levels import classify_levels
 from opsmetrics.operators.probes import parse_probe_dumps, with_unreachable
 from opsmetrics.plans.reports import host_metrics, host_report, snapshot_report
 from opsmetrics.schemas import MEASURES
-from opsmetrics.sinks.tables import append_metrics
-from opsmetrics.sources.files import read_probe_samples, read_snapshot_sheets
+from opsmetrics.sinks.tables import append_metrics, quarantine
+from opsmetrics.sources.files import (
+    read_probe_lines,
+    read_probe_samples,
+    read_snapshot_sheets,
+    whole,
+)
 from opsmetrics.sources.tables import read_metric_history
 from opsmetrics.streaming.ingest import collect_metrics
 from registered.common import RECENT_SQL, landing, last_instant, table
@@ -99,16 +104,20 @@ FROM lineitem
 
 
 def byte_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts below and, for odd line numbers, beyond 2^63 bytes."""
     count = F.floor(F.col("l_extendedprice") * 100) * 1000003 + F.col("l_partkey")
+    factor = F.when(F.col("l_linenumber") % 2 == 1, F.lit(2**24)).otherwise(F.lit(1))
+    bytes_ = count.cast("decimal(20,0)") * factor.cast("decimal(10,0)")
     return table(spark, sf_dir, "lineitem").select(
-        *LINE_KEY, bytes_to_tb(count.cast("decimal(38,0)")).alias("tb")
+        *LINE_KEY, bytes_to_tb(bytes_.cast("decimal(38,0)")).alias("tb")
     )
 
 
 BYTE_TOTALS_SQL = """
 WITH counted AS (
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-           (floor(l_extendedprice * 100)::HUGEINT * 1000003 + l_partkey) * 100 AS scaled
+           (floor(l_extendedprice * 100)::HUGEINT * 1000003 + l_partkey)
+           * CASE WHEN l_linenumber % 2 = 1 THEN 16777216 ELSE 1 END * 100 AS scaled
     FROM lineitem
 ), divided AS (
     SELECT *, scaled // 1099511627776 AS whole, scaled % 1099511627776 AS rest FROM counted
@@ -233,16 +242,20 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 
 
 def latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last value of each user and event type, from numbers and times only."""
-    events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "value")
+    """The last value of each user and event type, from numbers and times only; as
+    times count whole days, many are equal and the greater value holds."""
+    events = table(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.date_trunc("day", "ts").alias("ts"), "value"
+    )
     latest = latest_per_key(events, ["user_id", "event_type"], "ts")
     return latest.withColumn("ts", minute_text(F.col("ts")))
 
 
 LATEST_VALUE_SQL = """
-SELECT user_id, event_type, strftime(max(ts), '%Y-%m-%d %H:%M') AS ts,
-       arg_max(value, ts) AS value
-FROM events GROUP BY user_id, event_type
+SELECT user_id, event_type, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M') AS ts, value
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type
+                           ORDER BY date_trunc('day', ts) DESC, value DESC NULLS LAST) = 1
 """
 
 
@@ -352,22 +365,22 @@ JOIN (VALUES ('reading', 'view|click'), ('acting', 'click|purchase')) AS p(group
 
 
 def latest_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event types as the sheets of a workbook: saved as CSV, one header with
-    a leading blank, read back, cut to the lead sheet's last day, coloured."""
+    """Event types, whichever there are, as the sheets of a workbook: saved as CSV,
+    a header with a leading blank, read back, cut to the lead sheet's last day,
+    coloured."""
     events = table(spark, sf_dir, "events")
     folder = landing(spark, "sheets")
-    kinds = ["view", "click", "error", "purchase", "signup"]
-    for kind in kinds:
-        events.filter(F.col("event_type") == kind).select(
-            F.col("event_id").alias("id"),
-            F.date_format(F.to_date("ts"), "d-M-yyyy H:m").alias("Date"),
-            F.col("value").alias("useCPU(%)"),
-            (F.col("value") * 2).alias(" useRam(%)" if kind == "view" else "useRam(%)"),
-            (F.col("value") * 4).alias("useDisk(%)"),
-        ).write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(
-            f"{folder}/{kind}"
-        )
-    sheets = read_snapshot_sheets(spark, {kind: f"{folder}/{kind}" for kind in kinds})
+    events.select(
+        F.col("event_id").alias("id"),
+        F.date_format(F.to_date("ts"), "d-M-yyyy H:m").alias("Date"),
+        F.col("value").alias("useCPU(%)"),
+        (F.col("value") * 2).alias(" useRam(%)"),
+        (F.col("value") * 4).alias("useDisk(%)"),
+        F.col("event_type").alias("sheet"),
+    ).write.partitionBy("sheet").option("header", True).option(
+        "ignoreLeadingWhiteSpace", False
+    ).csv(folder)
+    sheets = read_snapshot_sheets(spark, folder)
     return snapshot_report(sheets, "view").withColumn("id", F.col("id").cast("bigint"))
 
 
@@ -444,18 +457,15 @@ SELECT *, '2024-02-01 08:00' AS minute, '2024-02-01' AS day FROM ({MEASURED_SQL}
 
 
 def unreachable_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as hosts, their pending orders as samples: a customer without
-    one counts as unreachable."""
+    """Customers as hosts, all orders as samples of the host of twice their
+    customer's number: a customer without one, as all odd ones, counts as
+    unreachable."""
     text = F.col("o_totalprice").cast("string")
-    samples = (
-        table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") == "P")
-        .select(
-            F.concat(F.lit("host-"), "o_custkey").alias("server_name"),
-            F.lit("192.0.2.1").alias("ip"),
-            F.col("o_orderkey").cast("string").alias("cpu_usage_percent"),
-            *[text.alias(m) for m in MEASURES[1:]],
-        )
+    samples = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("host-"), F.col("o_custkey") * 2).alias("server_name"),
+        F.lit("192.0.2.1").alias("ip"),
+        F.col("o_orderkey").cast("string").alias("cpu_usage_percent"),
+        *[text.alias(m) for m in MEASURES[1:]],
     )
     hosts = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("host-"), "c_custkey").alias("server_name"), F.lit("192.0.2.1").alias("ip")
@@ -466,8 +476,7 @@ def unreachable_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 UNREACHABLE_HOSTS_SQL = """
 WITH samples AS (
-    SELECT 'host-' || o_custkey AS server_name, o_orderkey, o_totalprice
-    FROM orders WHERE o_orderstatus = 'P'
+    SELECT 'host-' || (o_custkey * 2) AS server_name, o_orderkey, o_totalprice FROM orders
 ), probed AS (
     SELECT * FROM samples
     UNION ALL
@@ -483,6 +492,56 @@ FROM probed
 """
 
 
+def _land_broken_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Every event as a CSV sample with its columns in another order than the
+    schema's; those of errors break off after the second column."""
+    names = ["ip", "server_name", "total_ram_gb", "cpu_usage_percent", "used_disk_gb",
+             "used_ram_gb", "total_disk_gb"]
+    name = F.concat(F.lit("host-"), F.col("event_id"))
+    start = F.concat_ws(",", F.concat(F.lit("192.0.2."), F.col("user_id") % 256), name)
+    full = F.concat_ws(
+        ",", start, F.col("user_id"), F.col("value"), F.col("user_id") % 500, F.col("value"),
+        F.lit("500"),
+    )
+    line = F.when(F.col("event_type") == "error", start).otherwise(full)
+    folder = landing(spark, "samples-csv")
+    lines = table(spark, sf_dir, "events").select(line.alias(",".join(names)))
+    # One column whose name is the header, without quotes around its commas.
+    lines.write.option("header", True).option("quote", "").option("sep", "\x01").csv(folder)
+    return folder
+
+
+def collected_csv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV samples -> lines that could not be read are kept and counted, the
+    others collected."""
+    lines = read_probe_lines(spark, _land_broken_csv(spark, sf_dir), "csv")
+    broken = quarantine(lines, landing(spark, "broken"))
+    history = landing(spark, "metrics")
+    append_metrics(host_metrics(whole(lines), datetime(2024, 2, 1, 8, 0)), history)
+    return read_metric_history(spark, history).select(
+        "server_name", "cpu_usage_percent", "total_ram_gb", "used_ram_gb", "used_disk_gb",
+        F.lit(broken).cast("bigint").alias("not_read"),
+    )
+
+
+COLLECTED_CSV_METRICS_SQL = """
+SELECT 'host-' || event_id AS server_name, value AS cpu_usage_percent,
+       user_id::DOUBLE AS total_ram_gb, value AS used_ram_gb, (user_id % 500)::DOUBLE AS used_disk_gb,
+       (SELECT count(*) FROM events WHERE event_type = 'error') AS not_read
+FROM events WHERE event_type <> 'error'
+"""
+
+
+def pruned_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`recent_events` on a history in folders by date: the window prunes them."""
+    events = table(spark, sf_dir, "events")
+    folder = landing(spark, "events")
+    append_metrics(events, folder, "ts", rebalance=True)
+    history = spark.read.parquet(folder)
+    window = recent(history, "ts", last_instant(events), date_column="record_date")
+    return window.select("event_id", "user_id", day_text(F.col("ts")).alias("day"))
+
+
 def streamed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`collected_metrics` as a stream over the landing folder. Its time is the
     time of the run and left out."""
@@ -512,6 +571,8 @@ QUERIES = {
     "host_state_report": (host_state_report, HOST_STATE_REPORT_SQL),
     "latest_sheets": (latest_sheets, LATEST_SHEETS_SQL),
     "collected_metrics": (collected_metrics, COLLECTED_METRICS_SQL),
+    "collected_csv_metrics": (collected_csv_metrics, COLLECTED_CSV_METRICS_SQL),
+    "pruned_window": (pruned_window, RECENT_EVENTS_SQL),
     "unreachable_hosts": (unreachable_hosts, UNREACHABLE_HOSTS_SQL),
     "streamed_metrics": (streamed_metrics, MEASURED_SQL),
 }

@@ -18,11 +18,22 @@ from opsmetrics.operators.storage import (
     split_lines,
     usage_shares,
 )
-from opsmetrics.plans.reports import service_statuses, storage_report
+from opsmetrics.plans.reports import (
+    service_grid,
+    service_statuses,
+    storage_report,
+    storage_report_lines,
+)
 from opsmetrics.schemas import SERVICE_SNAPSHOT
 from opsmetrics.sinks.tables import append_status, write_report
-from opsmetrics.sources.files import flatten_services, read_service_snapshots
-from opsmetrics.sources.tables import read_status_history
+from opsmetrics.sources.files import (
+    flatten_services,
+    read_report_lines,
+    read_service_snapshots,
+    read_text_reports,
+)
+from opsmetrics.sources.tables import read_locks, read_status_history
+from opsmetrics.streaming.ingest import collect_statuses
 from registered.common import landing, last_instant, table
 
 # Event types as health states; the others stand for unlisted states.
@@ -37,7 +48,6 @@ GRID_WINDOW_SQL = """
     SELECT * FROM events
     WHERE ts >= (SELECT date_trunc('day', max(ts)) FROM events) - INTERVAL 7 DAY
 """
-DAYS = [f"2024-01-{day}" for day in range(23, 31)]
 
 
 # --- service grid ----------------------------------------------------------
@@ -76,23 +86,27 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date, o_orderstatus FROM
 """
 
 
-def _wide_grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+def status_grid_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide grid, its days named by how many they lie before the last."""
     window = _window(spark, sf_dir)
     dates = grid_dates(window, "ts")
-    return wide_grid(_long_grid(window), "user_id", "event_type", dates), dates
+    wide = wide_grid(window, "user_id", "ts", "event_type", dates, tiebreak=["event_id"])
+    return wide.withColumnsRenamed({day: f"day_{n}" for n, day in enumerate(reversed(dates))})
 
 
-def status_grid_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _wide_grid(spark, sf_dir)[0]
-
-
-STATUS_GRID_WIDE_SQL = "\nSELECT user_id,\n{}\nFROM ({})\nGROUP BY user_id\n".format(
-    ",\n".join(
-        f"  coalesce(max(CASE WHEN date = '{day}' THEN event_type END), 'N/A') AS \"{day}\""
-        for day in DAYS
-    ),
-    STATUS_GRID_LONG_SQL,
+STATUS_GRID_WIDE_SQL = f"""
+WITH grid AS ({STATUS_GRID_LONG_SQL}),
+days AS (
+    SELECT date, row_number() OVER (ORDER BY date DESC) - 1 AS n
+    FROM (SELECT DISTINCT date FROM grid)
 )
+SELECT user_id,
+{", ".join(
+    f"coalesce(max(CASE WHEN n = {n} THEN event_type END), 'N/A') AS day_{n}" for n in range(8)
+)}
+FROM grid JOIN days USING (date)
+GROUP BY user_id
+"""
 
 
 def state_colours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +121,8 @@ FROM ({STATUS_GRID_LONG_SQL}) LEFT JOIN {PALETTE_SQL} ON event_type = state
 
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dense grid as coloured cells with their place."""
-    wide, dates = _wide_grid(spark, sf_dir)
-    return classify_states(to_cells(wide, "user_id", dates), "value", PALETTE)
+    cells = to_cells(status_grid_long(spark, sf_dir), "user_id", "event_type")
+    return classify_states(cells, "value", PALETTE)
 
 
 GRID_CELLS_SQL = f"""
@@ -129,6 +143,44 @@ LEFT JOIN {PALETTE_SQL} ON coalesce(event_type, 'N/A') = state
 """
 
 
+def service_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scheduled grid report on a kept history: users as services."""
+    events = table(spark, sf_dir, "events")
+    history = landing(spark, "history")
+    append_status(
+        events.select(
+            F.format_string("service-%05d", "user_id").alias("service_name"),
+            F.col("event_type").alias("health_status"),
+            F.col("ts").cast("timestamp").alias("timestamp"),
+        ),
+        history,
+        rebalance=True,
+    )
+    midnight = last_instant(events).replace(hour=0, minute=0, second=0, microsecond=0)
+    return service_grid(read_status_history(spark, history), midnight, palette=PALETTE)
+
+
+SERVICE_CELLS_SQL = f"""
+WITH named AS (
+    SELECT *, printf('service-%05d', user_id) AS service_name FROM ({GRID_WINDOW_SQL})
+), grid AS (
+    SELECT service_name, strftime(ts, '%Y-%m-%d') AS date,
+           arg_max(event_type, (ts, event_type)) AS state
+    FROM named GROUP BY 1, 2
+), services AS (
+    SELECT service_name, row_number() OVER (ORDER BY service_name DESC) - 1 AS y
+    FROM (SELECT DISTINCT service_name FROM grid)
+), days AS (
+    SELECT date, row_number() OVER (ORDER BY date) - 1 AS x FROM (SELECT DISTINCT date FROM grid)
+)
+SELECT service_name, date AS column_name, coalesce(grid.state, 'N/A') AS value,
+       x::INTEGER AS x, y, coalesce(colour, 'white') AS colour
+FROM services CROSS JOIN days
+LEFT JOIN grid USING (service_name, date)
+LEFT JOIN {PALETTE_SQL} ON coalesce(grid.state, 'N/A') = palette.state
+"""
+
+
 # --- service collection ----------------------------------------------------
 
 # Two services per order, none for pending orders (empty and absent list).
@@ -176,6 +228,46 @@ SELECT service_name, health_status, '2024-02-01 08:00' AS minute FROM ({SERVICES
 """
 
 
+def streamed_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a stream, of which those without services are cut off:
+    they are kept aside and counted, and the others collected."""
+    folder, history = landing(spark, "services"), landing(spark, "streamed")
+    broken = landing(spark, "broken")
+    document = F.col("document")
+    cut = F.when(document.contains("total"), document).otherwise(F.lit('{"items": ['))
+    _documents(spark, sf_dir).select(cut).write.text(folder)
+    collect_statuses(
+        spark, folder, history, landing(spark, "progress"), broken, one_per_line=True
+    ).awaitTermination()
+    kept = spark.read.schema("broken string").parquet(broken).count()
+    return read_status_history(spark, history).select(
+        "service_name", "health_status", F.lit(kept).cast("bigint").alias("not_read")
+    )
+
+
+STREAMED_STATUSES_SQL = f"""
+SELECT service_name, health_status,
+       (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS not_read
+FROM ({SERVICES_SQL})
+"""
+
+
+def emptied_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two report runs, of which the first is repeated without rows: only the
+    other is left."""
+    folder = landing(spark, "reports")
+    report = status_grid_long(spark, sf_dir)
+    for hour in (8, 9):
+        write_report(report, folder, datetime(2024, 2, 1, hour, 0))
+    rows = write_report(report.filter(F.lit(False)), folder, datetime(2024, 2, 1, 8, 0))
+    return spark.read.parquet(folder).withColumn("rows", F.lit(rows).cast("bigint"))
+
+
+EMPTIED_REPORT_SQL = f"""
+SELECT *, '2024-02-01_09-00-00' AS report_ts, 0::BIGINT AS rows FROM ({STATUS_GRID_LONG_SQL})
+"""
+
+
 def kept_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report run written twice under one time, as after a retry: one copy
     is left, and its row count was taken while writing."""
@@ -196,13 +288,17 @@ FROM ({STATUS_GRID_LONG_SQL})
 
 
 def distinct_locks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as locks: status as database, customer as table, priority as agent."""
-    locks = table(spark, sf_dir, "orders").select(
+    """Orders as a stored lock table with more columns than are asked for: status
+    as database, customer as table, priority as agent."""
+    folder = landing(spark, "locks")
+    table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("hl_lock_id"),
         F.col("o_orderstatus").alias("hl_db"),
         F.format_string("customer_%d", "o_custkey").alias("hl_table"),
         F.col("o_orderpriority").alias("hl_agent_info"),
-    )
-    return numbered_locks(locks, unknown="4-NOT SPECIFIED")
+        F.col("o_orderdate").alias("hl_acquired_at"),
+    ).write.parquet(folder)
+    return numbered_locks(read_locks(spark, folder), unknown="4-NOT SPECIFIED")
 
 
 DISTINCT_LOCKS_SQL = """
@@ -364,6 +460,86 @@ FROM shares
 """
 
 
+# So many orders by key make one report file, whatever the number of orders.
+FILE_ORDERS = 2000
+
+
+def _land_reports(spark: SparkSession, sf_dir: str) -> str:
+    """Report files with one line per order and line ends of all kinds."""
+    amount = F.format_number(F.floor(F.col("o_totalprice") * 100) * 100003, 0)
+    status, key = F.col("o_orderstatus"), F.col("o_orderkey")
+    line = (
+        F.when(status == "P", F.lit("Non DFS Used: , B"))
+        .when(key % 7 == 0, F.concat(F.lit("DFS Used: "), amount, F.lit(" (x KB)")))
+        .when(status == "F", F.concat(F.lit("DFS Used: "), amount, F.lit(" B (x MB)")))
+        .otherwise(F.concat(F.lit("DFS Remaining: "), amount, F.lit(" B")))
+    )
+    ends = ["\n", "\r\n", "\x0b", "\u2028", "\x1c", "\r", "\x85"]
+    end = F.element_at(F.array(*[F.lit(e) for e in ends]), (key % len(ends) + 1).cast("int"))
+    folder = landing(spark, "reports")
+    lines = table(spark, sf_dir, "orders").select(
+        F.floor(key / FILE_ORDERS).alias("report"),
+        F.struct(key.alias("key"), F.concat(line, end).alias("line")).alias("line"),
+    )
+    lines.groupBy("report").agg(
+        F.array_join(F.sort_array(F.collect_list("line"))["line"], "").alias("txt")
+    ).write.partitionBy("report").text(folder)
+    return folder
+
+
+def _by_number(report: DataFrame) -> DataFrame:
+    number = F.regexp_extract("report_id", "report=([0-9]+)", 1).cast("bigint")
+    return report.withColumn("report_id", number)
+
+
+def storage_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report files, each read as a whole."""
+    return _by_number(storage_report(read_text_reports(spark, _land_reports(spark, sf_dir))))
+
+
+def storage_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files by splits and lines."""
+    return _by_number(storage_report_lines(read_report_lines(spark, _land_reports(spark, sf_dir))))
+
+
+STORAGE_FILES_SQL = f"""
+WITH lines AS (
+    SELECT o_orderkey // {FILE_ORDERS} AS report_id, o_orderkey,
+           (floor(o_totalprice * 100) * 100003)::BIGINT AS amount,
+           CASE WHEN o_orderstatus = 'P' THEN 'none' WHEN o_orderkey % 7 = 0 THEN 'other'
+                WHEN o_orderstatus = 'F' THEN 'used' ELSE 'remaining' END AS kind
+    FROM orders
+), running AS (
+    SELECT report_id, o_orderkey,
+           last_value(CASE kind WHEN 'used' THEN amount WHEN 'none' THEN -1 END IGNORE NULLS)
+               OVER so_far AS used,
+           last_value(CASE kind WHEN 'remaining' THEN amount END IGNORE NULLS)
+               OVER so_far AS remaining
+    FROM lines
+    WINDOW so_far AS (PARTITION BY report_id ORDER BY o_orderkey
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), tb AS (
+    SELECT report_id,
+           round_even(arg_min(used, o_orderkey) / 1099511627776 * 100, 0) / 100 AS dfs_used_tb,
+           round_even(arg_min(remaining, o_orderkey) / 1099511627776 * 100, 0) / 100
+               AS dfs_remaining_tb
+    FROM running WHERE used >= 0 AND remaining >= 0 GROUP BY report_id
+), shares AS (
+    SELECT *,
+           CASE WHEN dfs_used_tb + dfs_remaining_tb <> 0 THEN
+               round_even(dfs_used_tb / (dfs_used_tb + dfs_remaining_tb) * 100 * 10, 0) / 10 END
+               AS used_share,
+           CASE WHEN dfs_used_tb + dfs_remaining_tb <> 0 THEN
+               round_even(dfs_remaining_tb / (dfs_used_tb + dfs_remaining_tb) * 100 * 10, 0) / 10
+               END AS remaining_share
+    FROM tb
+)
+SELECT *, printf('%.1f%%', used_share) AS used_share_text,
+       printf('%.1f%%', remaining_share) AS remaining_share_text
+FROM shares
+"""
+
+
 def order_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = (
         table(spark, sf_dir, "lineitem")
@@ -390,6 +566,11 @@ QUERIES = {
     "state_colours": (state_colours, STATE_COLOURS_SQL),
     "grid_cells": (grid_cells, GRID_CELLS_SQL),
     "snapshot_flatten": (snapshot_flatten, SERVICES_SQL),
+    "service_grid": (service_cells, SERVICE_CELLS_SQL),
+    "streamed_statuses": (streamed_statuses, STREAMED_STATUSES_SQL),
+    "emptied_report": (emptied_report, EMPTIED_REPORT_SQL),
+    "storage_files": (storage_files, STORAGE_FILES_SQL),
+    "storage_file_lines": (storage_file_lines, STORAGE_FILES_SQL),
     "collected_statuses": (collected_statuses, COLLECTED_STATUSES_SQL),
     "kept_report": (kept_report, KEPT_REPORT_SQL),
     "distinct_locks": (distinct_locks, DISTINCT_LOCKS_SQL),

@@ -28,6 +28,10 @@ def grid(df, **options):
     return status_grid(df, "service_name", "timestamp", "health_status", **options)
 
 
+def wide(df, dates, **options):
+    return wide_grid(df, "service_name", "timestamp", "health_status", dates, **options)
+
+
 @pytest.mark.parametrize("policy", ["error", "latest"])
 def test_grid_without_repeats(spark, policy):
     df = frame(spark, SCHEMA, POLLS)
@@ -40,14 +44,13 @@ def test_grid_without_repeats(spark, policy):
     ]
     dates = grid_dates(df, "timestamp")
     assert dates == ["2026-12-02", "2026-12-04", "2026-12-09"]
-    wide = wide_grid(long, "service_name", "health_status", dates)
-    assert [tuple(r) for r in wide.collect()] == [
+    assert [tuple(r) for r in wide(df, dates, on_duplicate=policy).collect()] == [
         ("hive", "BAD", "GOOD", "N/A"),
         ("yarn", "N/A", "N/A", "ODD"),
     ]
 
 
-def test_wide_grid_agrees_with_pandas(spark):
+def test_wide_grid_cell_by_cell(spark):
     rng = random.Random(13)
     states = ["GOOD", "BAD", "CONCERNING", "DISABLED", None]
     cells = rng.sample([(f"s{n:02}", d) for n in range(30) for d in range(12) if d != 5], 200)
@@ -55,15 +58,18 @@ def test_wide_grid_agrees_with_pandas(spark):
         (name, NOW - d * DAY + timedelta(minutes=rng.randint(-500, 800)), rng.choice(states))
         for name, d in cells
     ]
-    data = pd.DataFrame(rows, columns=["service_name", "timestamp", "health_status"])
-    data["date"] = data["timestamp"].dt.date.astype(str)
-    expected = data.pivot(index="service_name", columns="date", values="health_status").fillna("N/A")
-
+    seen = {(name, str(at.date())): state for name, at, state in rows}
+    days = sorted({day for _, day in seen})
+    expected = [
+        (name, *[seen.get((name, day)) or "N/A" for day in days])
+        for name in sorted({name for name, _ in seen})
+    ]
     df = frame(spark, SCHEMA, rows).repartition(8)
-    dates = grid_dates(df, "timestamp")
-    assert dates == expected.columns.tolist()
-    wide = wide_grid(grid(df, on_duplicate="error"), "service_name", "health_status", dates)
-    assert [tuple(r) for r in wide.collect()] == [tuple(r) for r in expected.reset_index().to_numpy()]
+    assert grid_dates(df, "timestamp") == days
+    got = wide(df, days, on_duplicate="error")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert [tuple(r) for r in got.collect()] == expected
 
 
 def test_repeats_take_the_latest(spark):
@@ -77,11 +83,16 @@ def test_repeats_can_fail(spark):
     long = grid(frame(spark, SCHEMA, [*POLLS, REPOLL]), on_duplicate="error")
     with pytest.raises(Exception, match="more than one row for hive on 2026-12-04"):
         long.collect()
+    both = wide(frame(spark, SCHEMA, [*POLLS, REPOLL]), ["2026-12-04"], on_duplicate="error")
+    with pytest.raises(Exception, match="more than one row for hive on 2026-12-04"):
+        both.collect()
 
 
 def test_unknown_policy(spark):
     with pytest.raises(ValueError):
         grid(frame(spark, SCHEMA, POLLS), on_duplicate="first")
+    with pytest.raises(ValueError):
+        wide(frame(spark, SCHEMA, POLLS), [], on_duplicate="first")
 
 
 def test_ties_follow_the_tiebreak(spark):
@@ -107,20 +118,31 @@ def test_too_many_days(spark):
 
 
 def test_cells(spark):
-    df = frame(spark, "s string, a string, b string", [("x", "1", "2"), ("z", "5", "6"), ("y", "3", "4")])
-    cells = to_cells(df, "s", ["a", "b"])
-    assert values(cells, "s", "column_name", "value", "x", "y") == [
-        ("x", "a", "1", 0, 2), ("x", "b", "2", 1, 2),
+    rows = [("x", "a", "1"), ("z", "b", "6"), ("y", "a", "3"), ("y", "b", "4"), (None, "b", "0")]
+    cells = to_cells(frame(spark, "s string, date string, state string", rows), "s", "state")
+    assert values(cells, "s", "column_name", "value", "x", "y") == sorted([
+        ("x", "a", "1", 0, 2), ("x", "b", "N/A", 1, 2),
         ("y", "a", "3", 0, 1), ("y", "b", "4", 1, 1),
-        ("z", "a", "5", 0, 0), ("z", "b", "6", 1, 0),
-    ]
+        ("z", "a", "N/A", 0, 0), ("z", "b", "6", 1, 0),
+        (None, "a", "N/A", 0, 3), (None, "b", "0", 1, 3),
+    ], key=repr)
+
+
+def test_cells_of_more_days_than_a_wide_grid_holds(spark):
+    rows = [(f"s{n % 3}", NOW - n * DAY, "GOOD") for n in range(40)]
+    spark.conf.set("spark.sql.pivotMaxValues", "3")
+    try:
+        cells = to_cells(grid(frame(spark, SCHEMA, rows)), "service_name", "health_status")
+        assert cells.count() == 3 * 40 and cells.filter("value = 'GOOD'").count() == 40
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
 
 
 def test_empty_grid(spark):
     df = frame(spark, SCHEMA, [])
-    dates = grid_dates(df, "timestamp")
-    assert dates == []
-    cells = to_cells(wide_grid(grid(df), "service_name", "health_status", dates), "service_name", dates)
+    assert grid_dates(df, "timestamp") == []
+    assert wide(df, []).columns == ["service_name"]
+    cells = to_cells(grid(df), "service_name", "health_status")
     assert cells.columns == ["service_name", "column_name", "value", "x", "y"]
     assert cells.count() == 0
 
@@ -144,6 +166,19 @@ def test_numbers_of_a_hot_value_alone(spark):
     assert max(r["count"] for r in sizes) < 10000
 
 
+def test_equal_rows_are_spread(spark):
+    df = spark.range(0, 40000, 1, 8).selectExpr("1 AS k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = number_rows(df, ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got.columns == ["Index", "k"]
+    assert sorted(r["Index"] for r in got.collect()) == list(range(40000))
+    sizes = got.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 4 and max(r["count"] for r in sizes) < 15000
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_numbers_follow_the_order(spark, partitions):
     rng = random.Random(4)

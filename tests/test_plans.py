@@ -37,7 +37,7 @@ def test_row_wise_queries_do_not_shuffle(plans, name):
     ("name", "shuffles"),
     [
         ("latest_per_user", 1), ("status_grid_long", 1), ("state_colours", 1), ("order_shares", 1),
-        ("status_grid_wide", 2), ("report_counters", 2),
+        ("status_grid_wide", 1), ("report_counters", 2),
     ],
 )
 def test_shuffles(plans, name, shuffles):

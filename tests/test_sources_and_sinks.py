@@ -15,8 +15,9 @@ from opsmetrics.plans.reports import (
     snapshot_report,
 )
 from opsmetrics.schemas import LOCKS
-from opsmetrics.sinks.tables import append_metrics, append_status, write_report
+from opsmetrics.sinks.tables import append_metrics, append_status, quarantine, write_report
 from opsmetrics.sources.files import (
+    read_probe_lines,
     read_probe_samples,
     read_service_snapshots,
     read_snapshot_sheets,
@@ -70,12 +71,43 @@ def test_samples_to_history(spark, tmp_path):
     assert os.path.isdir(os.path.join(target, "record_date=2026-12-04"))
 
 
-def test_broken_sample_is_lost(spark, tmp_path):
+def test_broken_sample_is_kept_aside(spark, tmp_path):
     folder = land_samples(tmp_path / "in")
-    (tmp_path / "in" / "b.json").write_text('{"server_name": "half", "ip": "192.0')
+    half = '{"server_name": "half", "ip": "192.0'
+    (tmp_path / "in" / "b.json").write_text(half + "\n\nnull\n")
     samples = read_probe_samples(spark, folder)
     assert values(samples, "server_name") == sorted((s[0],) for s in SAMPLES)
     assert samples.count() == len(SAMPLES)
+    target = str(tmp_path / "broken")
+    assert quarantine(read_probe_lines(spark, folder), target) == 2
+    assert values(spark.read.parquet(target), "broken") == [("null",), (half,)]
+
+
+def write_csv(path, names, rows):
+    lines = [",".join(names), *[",".join(f'"{r[n]}"' for n in names) for r in rows]]
+    path.write_text("\n".join(lines) + "\n")
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    rows = [dict(zip(FIELDS, [s[0], "192.0.2.1", *s[1:6]])) for s in SAMPLES]
+    names = ["ip", "extra", *reversed(FIELDS[2:]), "server_name"]
+    (tmp_path / "in").mkdir()
+    write_csv(tmp_path / "in" / "a.csv", names, [{**r, "extra": "x"} for r in rows])
+    with open(tmp_path / "in" / "a.csv", "a") as f:
+        f.write("192.0.2.9,cut\n")
+    df = read_probe_samples(spark, str(tmp_path / "in"), "csv")
+    assert values(df, *FIELDS) == sorted((tuple(r[n] for n in FIELDS) for r in rows), key=repr)
+    lines = read_probe_lines(spark, str(tmp_path / "in"), "csv")
+    assert quarantine(lines, str(tmp_path / "broken")) == 1
+    write_csv(tmp_path / "in" / "b.csv", list(reversed(names)), [{**r, "extra": "x"} for r in rows])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_probe_samples(spark, str(tmp_path / "in"), "csv").collect()
+
+
+def test_csv_without_a_column_fails(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", FIELDS[:-1], [dict(zip(FIELDS, ["x"] * 7))])
+    with pytest.raises(ValueError, match="used_disk_gb"):
+        read_probe_samples(spark, str(tmp_path), "csv")
 
 
 def test_samples_as_csv(spark, tmp_path):
@@ -220,6 +252,22 @@ def test_sheets(spark, tmp_path):
     ]
 
 
+def test_sheets_of_several_files_need_one_header(spark, tmp_path):
+    for sheet in ("a", "2"):
+        (tmp_path / f"sheet={sheet}").mkdir()
+        (tmp_path / f"sheet={sheet}" / "1.csv").write_text(
+            "Name, useRam(%),useDisk(%),Date\nhost-01,71,1,04-01-2026 08:05\n"
+        )
+    got = snapshot_report(read_snapshot_sheets(spark, str(tmp_path)), "2")
+    assert values(got, "sheet", "`useRam(%)_colour`") == [("2", "yellow"), ("a", "yellow")]
+    (tmp_path / "sheet=a" / "2.csv").write_text(
+        "Name,useDisk(%), useRam(%),Date\nhost-02,71,1,04-01-2026 08:05\n"
+    )
+    for sheets in (str(tmp_path), {"a": str(tmp_path / "sheet=a")}):
+        with pytest.raises(Exception, match="(?i)header"):
+            read_snapshot_sheets(spark, sheets).collect()
+
+
 def test_sheets_without_a_metric(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Name,useDisk(%),Date\nhost-01,71,04-01-2026 08:05\n")
     got = snapshot_report(read_snapshot_sheets(spark, {"a": str(tmp_path / "a.csv")}), "a")
@@ -237,6 +285,8 @@ def test_reports_are_kept_by_time(spark, tmp_path):
     assert write_report(df.limit(3), path, NOW.replace(hour=10)) == 3
     assert write_report(df.limit(4), path, NOW) == 4  # a rerun replaces its own
     assert write_report(df.limit(0), path, NOW.replace(hour=11)) == 0
+    assert write_report(df.limit(9), path, NOW.replace(hour=12)) == 9
+    assert write_report(df.limit(0), path, NOW.replace(hour=12)) == 0  # takes its rows away
     kept = spark.read.parquet(path).groupBy("report_ts").count()
     assert values(kept, "report_ts", "count") == [
         ("2026-12-04_09-30-00", 4), ("2026-12-04_10-30-00", 3),

@@ -33,6 +33,24 @@ def test_statuses_arrive_once(spark, tmp_path):
     assert values(history, "service_name", "health_status") == [("hive", "GOOD"), ("yarn", "BAD")]
 
 
+def test_broken_lines_and_documents_are_kept_aside(spark, tmp_path):
+    landing, target, progress = (str(tmp_path / n) for n in ("in", "history", "progress"))
+    land_documents(landing)
+    (tmp_path / "in" / "broken.json").write_text('{"items": [{"displayName": "h')
+    for _ in range(2):  # it is found once, and the run does not stop at it
+        collect_statuses(spark, landing, target, progress).awaitTermination()
+    history = read_status_history(spark, target)
+    assert values(history, "service_name", "health_status") == [("hive", "GOOD"), ("yarn", "BAD")]
+    assert spark.read.parquet(f"{target}-broken").count() == 1
+
+    landing, target, progress = (str(tmp_path / n) for n in ("in2", "history2", "progress2"))
+    land_samples(landing)
+    (tmp_path / "in2" / "b.json").write_text('{"server_name": "half\n')
+    collect_metrics(spark, landing, target, progress, str(tmp_path / "aside")).awaitTermination()
+    assert read_metric_history(spark, target).count() == len(SAMPLES)
+    assert values(spark.read.parquet(str(tmp_path / "aside")), "broken") == [('{"server_name": "half',)]
+
+
 def test_incomplete_status_stops_the_run(spark, tmp_path):
     landing, target, progress = (str(tmp_path / n) for n in ("in", "history", "progress"))
     land_documents(landing, [{"items": [{"displayName": "hive"}]}])
