@@ -27,7 +27,7 @@ FILLERS = 96
 # Pieces of one length are numbered in so many parts.
 PARTS = 64
 # Words whose ids a worker keeps; later new ones are encoded each time.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 1_200_000
 
 Plan = list[tuple[dict[int, int], int]]
 
@@ -47,37 +47,31 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.normalized = self.tokenizer.normalizer.normalize_str
         self.tokens = self.tokenizer.model.tokenize
-        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.as_bytes = letters.pre_tokenize_str
-        self.parts: dict[str, bytes] = {"": b""}
+        self.as_bytes = pre_tokenizers.ByteLevel(
+            add_prefix_space=False, use_regex=False
+        ).pre_tokenize_str
+        self[""] = b""
 
     def __missing__(self, word: str) -> bytes:
-        if word[-1:] in (".", ",") and word[:-1].isalpha():
-            raw = self.part(word[:-1]) + self.part(word[-1])
+        if word.isascii() and word.isalpha():
+            plain = word.lower()
+            raw = self.letters(word) if plain == word else self[plain]
+        elif word[-1] in ".," and len(word) > 1 and word[:-1].isalpha():
+            raw = self[word[:-1]] + self[word[-1]]
+        elif word.isalpha() and max(word) < "\u0250" and (known := self.normalized(word)).isalpha():
+            raw = self.letters(self.as_bytes(known)[0][0])
         else:
-            raw = self.part(word)
+            raw = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         if len(self) < CACHED_WORDS:
             self[word] = raw
         return raw
 
-    def part(self, word: str) -> bytes:
-        plain = word.isascii() and word.isalpha()
-        if plain:
-            word = word.lower()
-        raw = self.parts.get(word)
-        if raw is None:
-            if plain:
-                ids = [t.id for t in self.tokens(word)]
-            elif word.isalpha() and max(word) < "\u0250" and (
-                known := self.normalized(word)
-            ).isalpha():
-                ids = [t.id for t in self.tokens(self.as_bytes(known)[0][0])]
-            else:
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            raw = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.parts) < CACHED_WORDS:
-                self.parts[word] = raw
-        return raw
+    def letters(self, word: str) -> bytes:
+        return self.packed([t.id for t in self.tokens(word)])
+
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def of(self, text: str) -> bytes:
         for blank in "\n\t\r\x0b\x0c":
