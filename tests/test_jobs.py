@@ -55,6 +55,44 @@ def test_storage(spark, job, tmp_path):
     assert values(kept, "used_share_text", "report_ts") == [("50.0%", "2026-12-04_12-00-00")]
 
 
+def test_storage_by_lines(spark, job, tmp_path):
+    (tmp_path / "in").mkdir()
+    used, rest = f"DFS Used: {2**40:,} B", f"DFS Remaining: {3 * 2**40:,} B"
+    for n, end in enumerate(["\n", "\r\n", "\x0b", "\u2028", "\x1c", "\r"]):
+        text = end.join(["DFS Used: 7 B", "x", used, rest, "DFS Used: 9 B", ""])
+        (tmp_path / "in" / f"{n}.txt").write_bytes(text.encode())
+    found = []
+    for name, option in (("whole", ()), ("lines", ("--by-lines",))):
+        reports = tmp_path / name
+        assert job("storage-report", tmp_path / "in", reports, *option, "--as-of", NOON) == 6
+        kept = spark.read.parquet(str(reports))
+        found.append(values(kept, "report_id", "dfs_used_tb", "used_share_text"))
+    assert found[0] == found[1]
+    assert {r[1:] for r in found[0]} == {(1.0, "25.0%")}
+
+
+def test_what_cannot_be_read_is_kept_and_counted(spark, job, tmp_path, capsys):
+    samples = land_samples(tmp_path / "in")
+    (tmp_path / "in" / "b.json").write_text("{broken\n")
+    assert job("collect-metrics", samples, tmp_path / "history") == len(SAMPLES)
+    documents = land_documents(tmp_path / "docs")
+    (tmp_path / "docs" / "b.json").write_text("{broken")
+    aside = tmp_path / "aside"
+    assert job("collect-status", documents, tmp_path / "states", "--broken", aside) == 2
+    assert spark.read.parquet(f"{samples}-broken").count() == 1
+    assert values(spark.read.parquet(str(aside)), "broken") == [("{broken",)]
+    printed = capsys.readouterr().out
+    assert printed.count(": 1 not read, kept in ") == 2
+
+
+def test_one_instant_per_run(spark, job, tmp_path):
+    history = tmp_path / "history"
+    job("collect-metrics", land_samples(tmp_path / "in"), history)
+    assert job("host-report", history, tmp_path / "reports") >= 0
+    stamps = spark.read.parquet(str(history)).select("datetime_record").distinct().collect()
+    assert len(stamps) == 1
+
+
 def test_locks(spark, job, tmp_path):
     schema = "hl_db string, hl_table string, hl_agent_info string"
     spark.createDataFrame(LOCKS, schema).write.parquet(str(tmp_path / "locks"))
