@@ -11,7 +11,7 @@ from opsmetrics.llm.common import attach, staged, words
 from opsmetrics.operators.numbering import number_rows
 
 HASH_BITS = 60
-LEVEL_BITS = 12
+LEVEL_BITS = 15
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_REPEATS = 2
