@@ -54,7 +54,9 @@ def _page(page_id: int | None) -> str:
     return f"<urn:page:{'' if page_id is None else page_id}>"
 
 
-def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
+def record_bytes(
+    page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool
+) -> bytes:
     """One record, compressed by itself. A revisit keeps the header of the answer,
     with the payload's length, but not the payload."""
     answer = (
