@@ -23,7 +23,8 @@ import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from opsmetrics.operators.locks import numbered_locks
 from opsmetrics.operators.probes import with_unreachable
@@ -107,6 +108,12 @@ def run(spark: SparkSession, options: argparse.Namespace) -> int:
             report = reports.storage_report_lines(files.read_report_lines(spark, options.texts))
         else:
             report = reports.storage_report(files.read_text_reports(spark, options.texts))
+        too_long = Observation("too long")
+        missing = F.col("dfs_used_tb").isNull() | F.col("dfs_remaining_tb").isNull()
+        report = report.observe(too_long, F.count_if(missing).alias("reports"))
+        rows = write_report(report, options.reports, as_of)
+        print(f"{options.command}: {too_long.get['reports']} with a counter beyond 38 digits")
+        return rows
     elif options.command == "lock-report":
         report = numbered_locks(tables.read_locks(spark, options.locks))
     else:

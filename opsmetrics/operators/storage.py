@@ -64,17 +64,22 @@ def scan_report(
     """(report_id, used_bytes, remaining_bytes) of reports held as whole texts,
     one per row. Works within the row: no explode, no shuffle."""
     used, remaining = patterns
-    hits = F.filter(
-        split_lines(F.col(txt)), lambda line: line.rlike(used) | line.rlike(remaining)
+    # Each line is matched once; lines without a match go before the fold.
+    captures = F.transform(
+        split_lines(F.col(txt)),
+        lambda line: F.struct(
+            _capture(line, used).alias("used"), _capture(line, remaining).alias("remaining")
+        ),
     )
+    hits = F.filter(captures, lambda c: c["used"].isNotNull() | c["remaining"].isNotNull())
     unseen = F.lit(None).cast("string")
     state = F.reduce(
         hits,
         F.struct(unseen.alias("used"), unseen.alias("remaining")),
-        lambda seen, line: F.when(_has_digits(seen["used"], seen["remaining"]), seen).otherwise(
+        lambda seen, hit: F.when(_has_digits(seen["used"], seen["remaining"]), seen).otherwise(
             F.struct(
-                F.coalesce(_capture(line, used), seen["used"]).alias("used"),
-                F.coalesce(_capture(line, remaining), seen["remaining"]).alias("remaining"),
+                F.coalesce(hit["used"], seen["used"]).alias("used"),
+                F.coalesce(hit["remaining"], seen["remaining"]).alias("remaining"),
             )
         ),
     )

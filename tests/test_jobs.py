@@ -55,6 +55,14 @@ def test_storage(spark, job, tmp_path):
     assert values(kept, "used_share_text", "report_ts") == [("50.0%", "2026-12-04_12-00-00")]
 
 
+def test_too_long_counters_are_counted(spark, job, tmp_path, capsys):
+    (tmp_path / "in").mkdir()
+    for n, used in enumerate(["7", "9" * 40]):
+        (tmp_path / "in" / f"{n}.txt").write_text(f"DFS Used: {used} B\nDFS Remaining: 1 B\n")
+    assert job("storage-report", tmp_path / "in", tmp_path / "reports") == 2
+    assert "1 with a counter beyond 38 digits" in capsys.readouterr().out
+
+
 def test_storage_by_lines(spark, job, tmp_path):
     (tmp_path / "in").mkdir()
     used, rest = f"DFS Used: {2**40:,} B", f"DFS Remaining: {3 * 2**40:,} B"
