@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ BLANK_CHARACTERS = " \t\n\x0b\x0c\r"
 # A table joined by broadcast has at most this many rows of a few numbers each.
 BROADCAST_ROWS = 20_000
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -44,6 +48,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Whole texts go to Python tasks in batches of so many rows: by the thousand,
+    since buffers on both sides hold a batch several times. The setting of the
+    session is put back afterwards, so jobs must run inside."""
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join `table` (one row per key, already staged) to `rows`; missing keys
     are equal to each other.

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsmetrics.llm.common import attach, staged, words
+from opsmetrics.llm.common import attach, small_batches, staged, words
 from opsmetrics.llm.components import components
 
 SHINGLE = 4
@@ -33,7 +33,7 @@ PAIRED = 8
 BLOCK_SETS = 1024
 BLOCK_TOKENS = 1_000_000
 # Tokens that a task holds before it packs them, and words that it hashes at once.
-_FLUSH = 2_000_000
+_FLUSH = 1_000_000
 _AT_ONCE = 200_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
@@ -163,7 +163,9 @@ def token_levels(hashed: DataFrame, length: int) -> bytes:
     )
     # As many bytes as the table has cells, at most.
     table = bytearray(2**TABLE_BITS)
-    for row in rows.toLocalIterator():
+    with small_batches(spark):
+        found = rows.collect()
+    for row in found:
         table[row["range"] * cells : (row["range"] + 1) * cells] = zlib.decompress(row["levels"])
     return bytes(table)
 
@@ -208,9 +210,13 @@ def class_sets(hashed: DataFrame, length: int, link: tuple[int, int]) -> DataFra
             )
 
     kind = hashed.schema["doc_id"].dataType.simpleString()
-    return staged(
-        hashed.mapInArrow(sets, f"doc_id {kind}, n long, class long, tokens binary"), "jaccard-sets"
-    )
+    with small_batches(hashed.sparkSession):
+        found = staged(
+            hashed.mapInArrow(sets, f"doc_id {kind}, n long, class long, tokens binary"),
+            "jaccard-sets",
+        )
+    table.unpersist()
+    return found
 
 
 def candidate_edges(classes: DataFrame, link: tuple[int, int]) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsmetrics.llm.common import staged, text_or_empty
+from opsmetrics.llm.common import small_batches, staged, text_or_empty
 
 CAPACITY = 4096
 END_ID = 1
@@ -26,8 +26,10 @@ SCARCER = 0.9
 FILLERS = 96
 # Pieces of one length are numbered in so many parts.
 PARTS = 64
-# Words whose ids a worker keeps; later new ones are encoded each time.
-CACHED_WORDS = 1_200_000
+# Words whose ids a worker keeps, later new ones are encoded each time; and up to how
+# many it also keeps their forms with capitals or a mark, which it else puts together.
+CACHED_WORDS = 900_000
+CACHED_FORMS = 400_000
 
 Plan = list[tuple[dict[int, int], int]]
 
@@ -53,16 +55,20 @@ class WordIds(dict):
         self[""] = b""
 
     def __missing__(self, word: str) -> bytes:
+        most = CACHED_WORDS
         if word.isascii() and word.isalpha():
             plain = word.lower()
-            raw = self.letters(word) if plain == word else self[plain]
+            if plain == word:
+                raw = self.letters(word)
+            else:
+                raw, most = self[plain], CACHED_FORMS
         elif word[-1] in ".," and len(word) > 1 and word[:-1].isalpha():
-            raw = self[word[:-1]] + self[word[-1]]
+            raw, most = self[word[:-1]] + self[word[-1]], CACHED_FORMS
         elif word.isalpha() and max(word) < "\u0250" and (known := self.normalized(word)).isalpha():
             raw = self.letters(self.as_bytes(known)[0][0])
         else:
             raw = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        if len(self) < CACHED_WORDS:
+        if len(self) < most:
             self[word] = raw
         return raw
 
@@ -292,7 +298,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUND
     and only the plan for it, whose size it bounds, goes to the tasks. Pieces
     of a length are numbered within parts, and the parts one after another.
     """
-    pieces = staged(pieces, "pieces")
+    with small_batches(pieces.sparkSession):
+        pieces = staged(pieces, "pieces")
     sizes = staged(pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "lengths")
     histogram = sizes.groupBy("length").agg(F.sum("n").alias("n"))
     plan = packing_plan({r["length"]: r["n"] for r in histogram.collect()}, capacity, rounds)

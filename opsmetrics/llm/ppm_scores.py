@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsmetrics.llm.common import staged
+from opsmetrics.llm.common import small_batches, staged
 
 # Longest context in bytes. A context and its next byte are one number of 48 bits.
 ORDER = 5
@@ -230,10 +230,11 @@ def _low_counts(texts: DataFrame) -> pa.Table:
         at = np.flatnonzero(found)
         return pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], ["gram", "n"])
 
-    return (
-        texts.mapInArrow(counted, "gram long, n long")
-        .groupBy("gram").agg(F.sum("n").alias("n")).orderBy("gram").toArrow()
+    grams_found = texts.mapInArrow(counted, "gram long, n long").groupBy("gram").agg(
+        F.sum("n").alias("n")
     )
+    with small_batches(texts.sparkSession):
+        return grams_found.orderBy("gram").toArrow()
 
 
 def score_texts(docs: DataFrame, trained: Column) -> DataFrame:
