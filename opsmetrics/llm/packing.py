@@ -28,8 +28,8 @@ FILLERS = 96
 PARTS = 64
 # Words whose ids a worker keeps, later new ones are encoded each time; and up to how
 # many it also keeps their forms with capitals or a mark, which it else puts together.
-CACHED_WORDS = 900_000
-CACHED_FORMS = 400_000
+CACHED_WORDS = 700_000
+CACHED_FORMS = 300_000
 
 Plan = list[tuple[dict[int, int], int]]
 
