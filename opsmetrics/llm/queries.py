@@ -11,6 +11,8 @@ from opsmetrics.llm.jaccard_join import jaccard_components
 from opsmetrics.llm.license_scan import LICENCE_SQL, scan_licences
 from opsmetrics.llm.mixing import MIX_SQL, mixed_sizes
 from opsmetrics.llm.packing import pack_documents
+from opsmetrics.llm.phrase_index import CONTAMINATION_SQL, contamination_report
+from opsmetrics.llm.pivot_clustering import CLUSTER_SQL, cluster_report
 from opsmetrics.llm.ppm_scores import scored_documents
 from opsmetrics.llm.quality_classifier import quality_scores
 from opsmetrics.llm.quality_rules import quality_report
@@ -58,6 +60,16 @@ def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(documents(spark, sf_dir))
 
 
+def op11_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    )
+
+
 QUERIES = {
     "op1_quality_nbsvm": (op1_quality_nbsvm, None),
     "op2_source_mix": (op2_source_mix, MIX_SQL),
@@ -69,4 +81,6 @@ QUERIES = {
     "op8_jaccard_trie": (op8_jaccard_trie, None),
     "op9_licence_digests": (op9_licence_digests, LICENCE_SQL),
     "op10_linked_secrets": (op10_linked_secrets, None),
+    "op11_pivot_clusters": (op11_pivot_clusters, CLUSTER_SQL),
+    "op13_phrase_index": (op13_phrase_index, CONTAMINATION_SQL),
 }
