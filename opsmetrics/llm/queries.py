@@ -17,6 +17,7 @@ from opsmetrics.llm.ppm_scores import scored_documents
 from opsmetrics.llm.quality_classifier import quality_scores
 from opsmetrics.llm.quality_rules import quality_report
 from opsmetrics.llm.secret_scan import secret_report
+from opsmetrics.llm.token_alignment import alignment_report
 from opsmetrics.llm.warc_archives import archived_pages
 
 
@@ -64,6 +65,14 @@ def op11_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(
+        documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def op13_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -82,5 +91,6 @@ QUERIES = {
     "op9_licence_digests": (op9_licence_digests, LICENCE_SQL),
     "op10_linked_secrets": (op10_linked_secrets, None),
     "op11_pivot_clusters": (op11_pivot_clusters, CLUSTER_SQL),
+    "op12_token_alignment": (op12_token_alignment, None),
     "op13_phrase_index": (op13_phrase_index, CONTAMINATION_SQL),
 }
