@@ -1,17 +1,22 @@
 """The scheduled jobs: one command per collection or report.
 
     python -m opsmetrics.jobs collect-metrics SAMPLES HISTORY [--hosts HOSTS] [--broken FOLDER]
+        [--batch NAME]
     python -m opsmetrics.jobs host-report HISTORY REPORTS [--as-of TIME]
     python -m opsmetrics.jobs snapshot-report REPORTS LEAD=PATH [SHEET=PATH ...]
     python -m opsmetrics.jobs storage-report TEXTS REPORTS [--by-lines]
     python -m opsmetrics.jobs lock-report LOCKS REPORTS
-    python -m opsmetrics.jobs collect-status DOCUMENTS HISTORY [--broken FOLDER]
+    python -m opsmetrics.jobs collect-status DOCUMENTS HISTORY [--broken FOLDER] [--batch NAME]
+    python -m opsmetrics.jobs drop-uncommitted HISTORY [--as-of TIME]
     python -m opsmetrics.jobs service-grid HISTORY REPORTS [--as-of TIME]
 
 A history or lock table is a folder, a catalog table, or JDBC options as JSON.
 Every command prints the number of rows it wrote, and a collection how many lines
 or documents it could not read; those are kept in the folder of --broken, by
-default one beside the landed files. Without --as-of the instant of the run is
+default one beside the landed files. With --batch a collection is added to its history
+(a folder) as a whole and once: a job that was killed or has to be repeated is run again
+with the same name. What killed jobs left goes with drop-uncommitted, from before
+--as-of. Without --as-of the instant of the run is
 taken once, at its start, in UTC. On a cluster, lock-report and
 service-grid need spark.checkpoint.dir.
 """
@@ -30,6 +35,7 @@ from opsmetrics.operators.locks import numbered_locks
 from opsmetrics.operators.probes import with_unreachable
 from opsmetrics.plans import reports
 from opsmetrics.session import build_session
+from opsmetrics.sinks.commits import commit_metrics, commit_status, committed, drop_uncommitted
 from opsmetrics.sinks.tables import append_metrics, append_status, quarantine, write_report
 from opsmetrics.sources import files, tables
 
@@ -57,6 +63,7 @@ def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
     collect = command("collect-metrics", "samples", "history")
     collect.add_argument("--format", choices=["json", "csv"], default="json")
     collect.add_argument("--broken", help="folder for lines that cannot be read")
+    collect.add_argument("--batch", help="name of the batch, which is added once")
     collect.add_argument("--hosts", help="CSV of server_name, ip: every host gets a row")
     command("host-report", "history", "reports")
     command("snapshot-report", "reports").add_argument(
@@ -71,6 +78,8 @@ def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
     states.add_argument(
         "--one-per-line", action="store_true", help="one document per line, not per file"
     )
+    states.add_argument("--batch", help="name of the batch, which is added once")
+    command("drop-uncommitted", "history")
     grid = command("service-grid", "history", "reports")
     grid.add_argument("--on-duplicate", choices=["latest", "error"], default="latest")
     return parser.parse_args(arguments)
@@ -84,6 +93,12 @@ def run(spark: SparkSession, options: argparse.Namespace) -> int:
         folder = options.broken or f"{landed.rstrip('/')}-broken"
         print(f"{options.command}: {quarantine(lines, folder)} not read, kept in {folder}")
 
+    if options.command == "drop-uncommitted":
+        return len(drop_uncommitted(spark, options.history, as_of.replace(tzinfo=timezone.utc)))
+    if options.command.startswith("collect-") and options.batch:
+        # A repeated job neither reads nor quarantines anything again.
+        if (before := committed(spark, options.history, options.batch)) is not None:
+            return before.rows
     if options.command == "collect-metrics":
         lines = files.read_probe_lines(spark, options.samples, options.format)
         keep_broken(lines, options.samples)
@@ -91,12 +106,18 @@ def run(spark: SparkSession, options: argparse.Namespace) -> int:
         if options.hosts:
             hosts = spark.read.option("header", True).csv(options.hosts)
             samples = with_unreachable(samples, hosts.select("server_name", "ip"))
-        return append_metrics(reports.host_metrics(samples, as_of), options.history)
+        rows = reports.host_metrics(samples, as_of)
+        if options.batch:
+            return commit_metrics(rows, options.history, options.batch).rows
+        return append_metrics(rows, options.history)
     if options.command == "collect-status":
         documents = files.read_service_documents(spark, options.documents, options.one_per_line)
         keep_broken(documents, options.documents)
         services = files.flatten_services(files.whole(documents))
-        return append_status(reports.service_statuses(services, as_of), options.history)
+        rows = reports.service_statuses(services, as_of)
+        if options.batch:
+            return commit_status(rows, options.history, options.batch).rows
+        return append_status(rows, options.history)
 
     if options.command == "host-report":
         report = reports.host_report(tables.read_metric_history(spark, options.history), as_of)

@@ -67,3 +67,6 @@ BROKEN = "broken"
 
 # Partition column of both histories, derived from the time of the row.
 RECORD_DATE = "record_date"
+
+# Folder of a history's commit log, hidden from Spark's readers by its name.
+COMMIT_LOG = "_commits"

@@ -65,6 +65,12 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on whatever file system it is."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder, if it is there, on whatever file system it is."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,7 +1,8 @@
 """Append-only histories and report tables.
 
 A target is a folder of Parquet files (any text with a slash), the name of a
-catalog table, or a mapping of JDBC options.
+catalog table, or a mapping of JDBC options. A repeated job appends its rows again;
+`sinks.commits` adds a batch once.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from opsmetrics.schemas import BROKEN, RECORD_DATE, STATUS_HISTORY
-from opsmetrics.session import remove_folder
+from opsmetrics.schemas import BROKEN, COMMIT_LOG, RECORD_DATE, STATUS_HISTORY
+from opsmetrics.session import path_exists, remove_folder
 
 Target = str | Mapping[str, str]
 
@@ -32,6 +33,8 @@ def _append(df: DataFrame, target: Target, ts: str, rebalance: bool) -> int:
     if not isinstance(target, str):
         df.observe(counted, rows).write.format("jdbc").options(**target).mode("append").save()
         return counted.get["rows"]
+    if "/" in target and path_exists(df.sparkSession, f"{target.rstrip('/')}/{COMMIT_LOG}"):
+        raise ValueError(f"{target} has a commit log: add to it by batches")
     df = df.withColumn(RECORD_DATE, F.to_date(ts))
     if rebalance:
         df = df.hint("rebalance", F.col(RECORD_DATE))

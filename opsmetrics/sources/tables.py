@@ -2,7 +2,8 @@
 
 A source is a folder of Parquet files (any text with a slash), the name of a
 catalog table, or a mapping of JDBC options. Only the declared columns are
-selected, so nothing else is read.
+selected, so nothing else is read. Of a folder with a commit log only the committed
+batches are read.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from opsmetrics.schemas import LOCKS, METRIC_HISTORY, RECORD_DATE, STATUS_HISTORY
+from opsmetrics.sinks.commits import has_log, read_committed
 
 Source = str | Mapping[str, str]
 
@@ -26,6 +28,8 @@ def open_source(spark: SparkSession, source: Source, schema: T.StructType) -> Da
     if not isinstance(source, str):
         df = spark.read.format("jdbc").options(**source).load()
     elif "/" in source:
+        if has_log(spark, source):
+            return read_committed(spark, source, schema)
         df = spark.read.schema(schema).parquet(source)
     else:
         df = spark.table(source)

@@ -21,6 +21,7 @@ from opsmetrics.operators.levels import classify_levels
 from opsmetrics.operators.probes import parse_probe_dumps, with_unreachable
 from opsmetrics.plans.reports import host_metrics, host_report, snapshot_report
 from opsmetrics.schemas import MEASURES
+from opsmetrics.sinks.commits import commit_metrics, write_attempt
 from opsmetrics.sinks.tables import append_metrics, quarantine
 from opsmetrics.sources.files import (
     read_probe_lines,
@@ -532,6 +533,32 @@ FROM events WHERE event_type <> 'error'
 """
 
 
+def committed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples in three batches: one is committed twice, one was written but its
+    job died before the commit and was run again, and a fourth only died. The
+    history holds each of the three once."""
+    rows = host_metrics(
+        read_probe_samples(spark, _land_samples(spark, sf_dir)), datetime(2024, 2, 1, 8, 0)
+    )
+    history = landing(spark, "committed")
+    part = F.pmod(F.substring("server_name", 6, 20).cast("bigint"), F.lit(3))
+    batches = [rows.filter(part == n) for n in range(3)]
+    written = [
+        commit_metrics(batches[0], history, "first"), commit_metrics(batches[0], history, "first")
+    ]
+    write_attempt(batches[1], history, "datetime_record")
+    written += [commit_metrics(batches[n], history, f"batch {n}") for n in (1, 2)]
+    write_attempt(rows, history, "datetime_record")
+    entries = len({w.attempt for w in written})
+    return read_metric_history(spark, history).select(
+        "server_name", "cpu_usage_percent", "used_ram_percent", "used_disk_percent",
+        F.lit(entries).cast("bigint").alias("batches"),
+    )
+
+
+COMMITTED_METRICS_SQL = f"SELECT *, 3::BIGINT AS batches FROM ({MEASURED_SQL})"
+
+
 def pruned_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`recent_events` on a history in folders by date: the window prunes them."""
     events = table(spark, sf_dir, "events")
@@ -572,6 +599,7 @@ QUERIES = {
     "latest_sheets": (latest_sheets, LATEST_SHEETS_SQL),
     "collected_metrics": (collected_metrics, COLLECTED_METRICS_SQL),
     "collected_csv_metrics": (collected_csv_metrics, COLLECTED_CSV_METRICS_SQL),
+    "committed_metrics": (committed_metrics, COMMITTED_METRICS_SQL),
     "pruned_window": (pruned_window, RECENT_EVENTS_SQL),
     "unreachable_hosts": (unreachable_hosts, UNREACHABLE_HOSTS_SQL),
     "streamed_metrics": (streamed_metrics, MEASURED_SQL),

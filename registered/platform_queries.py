@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from opsmetrics.plans.reports import (
     storage_report_lines,
 )
 from opsmetrics.schemas import SERVICE_SNAPSHOT
+from opsmetrics.sinks.commits import commit_status, drop_uncommitted, publish, write_attempt
 from opsmetrics.sinks.tables import append_status, write_report
 from opsmetrics.sources.files import (
     flatten_services,
@@ -228,6 +229,31 @@ SELECT service_name, health_status, '2024-02-01 08:00' AS minute FROM ({SERVICES
 """
 
 
+def committed_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in two batches, each written by two runs at a time: the one
+    that publishes first counts, and the other is removed later."""
+    folder, history = landing(spark, "services"), landing(spark, "committed")
+    _documents(spark, sf_dir).select("document").write.text(folder)
+    rows = service_statuses(
+        read_service_snapshots(spark, folder, one_per_line=True), datetime(2024, 2, 1, 8, 0)
+    )
+    for name, of_batch in (("priority", "="), ("others", "<>")):
+        batch = rows.filter(f"service_name {of_batch} 'priority'")
+        runs = [write_attempt(batch, history, "timestamp") for _ in range(2)]
+        for attempt, count in runs:
+            publish(spark, history, name, attempt, count)
+        commit_status(batch, history, name)
+    removed = drop_uncommitted(spark, history, datetime.now(timezone.utc) + timedelta(hours=1))
+    return read_status_history(spark, history).select(
+        "service_name", "health_status", F.lit(len(removed)).cast("bigint").alias("removed")
+    )
+
+
+COMMITTED_STATUSES_SQL = f"""
+SELECT service_name, health_status, 2::BIGINT AS removed FROM ({SERVICES_SQL})
+"""
+
+
 def streamed_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as a stream, of which those without services are cut off:
     they are kept aside and counted, and the others collected."""
@@ -572,6 +598,7 @@ QUERIES = {
     "storage_files": (storage_files, STORAGE_FILES_SQL),
     "storage_file_lines": (storage_file_lines, STORAGE_FILES_SQL),
     "collected_statuses": (collected_statuses, COLLECTED_STATUSES_SQL),
+    "committed_statuses": (committed_statuses, COMMITTED_STATUSES_SQL),
     "kept_report": (kept_report, KEPT_REPORT_SQL),
     "distinct_locks": (distinct_locks, DISTINCT_LOCKS_SQL),
     "report_counters": (report_counters, REPORT_COUNTERS_SQL),

@@ -1,0 +1,144 @@
+"""Batches that are added once, and as a whole."""
+
+import threading
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from opsmetrics import jobs
+from opsmetrics.schemas import STATUS_HISTORY
+from opsmetrics.sinks import commits
+from opsmetrics.sinks.commits import (
+    commit_log,
+    commit_status,
+    committed,
+    drop_uncommitted,
+    publish,
+    write_attempt,
+)
+from opsmetrics.sinks.tables import append_status
+from opsmetrics.sources.tables import read_metric_history, read_status_history
+from tests.rows import values
+from tests.test_sources_and_sinks import SAMPLES, land_samples
+
+DAY = datetime(2024, 2, 1, 8, tzinfo=timezone.utc)
+LATER = datetime.now(timezone.utc) + timedelta(days=1)
+
+
+def batch(spark, *names, day=DAY):
+    rows = [(n, "GOOD", day + timedelta(days=k)) for k, n in enumerate(names)]
+    return spark.createDataFrame(rows, STATUS_HISTORY)
+
+
+def names(spark, history):
+    return [r[0] for r in values(read_status_history(spark, history), "service_name")]
+
+
+def test_repeated_batch_counts_once(spark, tmp_path):
+    history = str(tmp_path / "history")
+    first = commit_status(batch(spark, "hive", "yarn"), history, "a")
+    again = commit_status(batch(spark, "other"), history, "a")
+    assert again == first and first.rows == 2
+    commit_status(batch(spark, "hive"), history, "b/2024 %")
+    assert names(spark, history) == ["hive", "hive", "yarn"]
+    assert {r.batch: r.rows for r in commit_log(spark, history).collect()} == {"a": 2, "b/2024 %": 1}
+
+
+def test_killed_run_leaves_nothing(spark, tmp_path, monkeypatch):
+    """Also where it was the first run ever, and no batch is committed yet."""
+    history = str(tmp_path / "history")
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, "publish", killed)
+        with pytest.raises(KeyboardInterrupt):
+            commit_status(batch(spark, "hive", "yarn"), history, "a")
+    assert names(spark, history) == [] and committed(spark, history, "a") is None
+    commit_status(batch(spark, "hive", "yarn"), history, "a")
+    assert names(spark, history) == ["hive", "yarn"]
+    assert len(drop_uncommitted(spark, history, LATER)) == 1
+    assert drop_uncommitted(spark, history, LATER) == []
+    assert names(spark, history) == ["hive", "yarn"]
+
+
+def test_attempts_under_way_stay(spark, tmp_path):
+    history = str(tmp_path / "history")
+    attempt, rows = write_attempt(batch(spark, "hive"), history, "timestamp")
+    assert drop_uncommitted(spark, history, DAY) == []
+    publish(spark, history, "a", attempt, rows)
+    assert names(spark, history) == ["hive"]
+
+
+def test_incomplete_batch_fails_as_a_whole(spark, tmp_path):
+    history = str(tmp_path / "history")
+    commit_status(batch(spark, "hive"), history, "a")
+    rows = batch(spark, "yarn", "spark").withColumn(
+        "health_status", F.when(F.col("service_name") != "yarn", F.col("health_status"))
+    )
+    with pytest.raises(Exception, match="health_status is missing"):
+        commit_status(rows.repartition(2), history, "b")
+    assert names(spark, history) == ["hive"] and committed(spark, history, "b") is None
+    commit_status(batch(spark, "yarn", "spark"), history, "b")
+    assert names(spark, history) == ["hive", "spark", "yarn"]
+
+
+def test_first_of_two_runs_counts(spark, tmp_path):
+    history = str(tmp_path / "history")
+    runs = [write_attempt(batch(spark, n), history, "timestamp") for n in ("first", "second")]
+    found = [publish(spark, history, "a", *run) for run in runs]
+    assert found[0] == found[1] and found[0].attempt == runs[0][0]
+    assert names(spark, history) == ["first"]
+    assert drop_uncommitted(spark, history, LATER) == [runs[1][0]]
+
+
+def test_runs_side_by_side(spark, tmp_path):
+    history, found = str(tmp_path / "history"), []
+    run = lambda: found.append(commit_status(batch(spark, "hive"), history, "a"))
+    threads = [threading.Thread(target=run) for _ in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(found) == 4 and len(set(found)) == 1
+    assert names(spark, history) == ["hive"]
+
+
+def test_empty_batch_is_committed(spark, tmp_path):
+    history = str(tmp_path / "history")
+    assert commit_status(batch(spark), history, "none").rows == 0
+    assert names(spark, history) == []
+    commit_status(batch(spark, "hive"), history, "a")
+    assert names(spark, history) == ["hive"]
+
+
+def test_uncommitted_folders_are_pruned(spark, tmp_path):
+    """The window reaches the date partition, and the log the attempts."""
+    history = str(tmp_path / "history")
+    commit_status(batch(spark, "hive", "yarn"), history, "a")
+    write_attempt(batch(spark, "lost"), history, "timestamp")
+    rows = read_status_history(spark, history).filter(F.col("record_date") > "2024-02-01")
+    assert [r[0] for r in rows.select("service_name").collect()] == ["yarn"]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "dynamicpruning" in plan and "record_date" in plan
+
+
+def test_plain_appends_are_refused(spark, tmp_path):
+    history = str(tmp_path / "history")
+    commit_status(batch(spark, "hive"), history, "a")
+    with pytest.raises(ValueError, match="commit log"):
+        append_status(batch(spark, "yarn"), history)
+
+
+def test_job(spark, tmp_path):
+    landing, history = str(tmp_path / "in"), str(tmp_path / "history")
+    land_samples(landing)
+    command = ["collect-metrics", landing, history, "--batch", "2024-02-01", "--as-of", "2024-02-01T08:00"]
+    for _ in range(2):
+        assert jobs.run(spark, jobs.parse(command)) == len(SAMPLES)
+    assert read_metric_history(spark, history).count() == len(SAMPLES)
+    write_attempt(read_metric_history(spark, history).drop("record_date"), history, "datetime_record")
+    dropped = ["drop-uncommitted", history, "--as-of", LATER.replace(tzinfo=None).isoformat()]
+    assert jobs.run(spark, jobs.parse(dropped)) == 1
