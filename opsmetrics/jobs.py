@@ -4,6 +4,7 @@
         [--batch NAME]
     python -m opsmetrics.jobs host-report HISTORY REPORTS [--as-of TIME]
     python -m opsmetrics.jobs snapshot-report REPORTS LEAD=PATH [SHEET=PATH ...]
+    python -m opsmetrics.jobs snapshot-report REPORTS --workbook PATH LEAD
     python -m opsmetrics.jobs storage-report TEXTS REPORTS [--by-lines]
     python -m opsmetrics.jobs lock-report LOCKS REPORTS
     python -m opsmetrics.jobs collect-status DOCUMENTS HISTORY [--broken FOLDER] [--batch NAME]
@@ -37,7 +38,7 @@ from opsmetrics.plans import reports
 from opsmetrics.session import build_session
 from opsmetrics.sinks.commits import commit_metrics, commit_status, committed, drop_uncommitted
 from opsmetrics.sinks.tables import append_metrics, append_status, quarantine, write_report
-from opsmetrics.sources import files, tables
+from opsmetrics.sources import files, tables, workbooks
 
 
 def table_argument(text: str) -> str | Mapping[str, str]:
@@ -66,9 +67,9 @@ def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
     collect.add_argument("--batch", help="name of the batch, which is added once")
     collect.add_argument("--hosts", help="CSV of server_name, ip: every host gets a row")
     command("host-report", "history", "reports")
-    command("snapshot-report", "reports").add_argument(
-        "sheets", nargs="+", help="name=path, the lead sheet first"
-    )
+    snapshot = command("snapshot-report", "reports")
+    snapshot.add_argument("sheets", nargs="+", help="name=path, the lead sheet first")
+    snapshot.add_argument("--workbook", help="an .xlsx file or a folder of them; then only LEAD")
     command("storage-report", "texts", "reports").add_argument(
         "--by-lines", action="store_true", help="read splits of files, for reports of any size"
     )
@@ -122,8 +123,12 @@ def run(spark: SparkSession, options: argparse.Namespace) -> int:
     if options.command == "host-report":
         report = reports.host_report(tables.read_metric_history(spark, options.history), as_of)
     elif options.command == "snapshot-report":
-        sheets = dict(sheet.split("=", 1) for sheet in options.sheets)
-        report = reports.snapshot_report(files.read_snapshot_sheets(spark, sheets), next(iter(sheets)))
+        if options.workbook:
+            lead, cells = options.sheets[0], workbooks.read_snapshot_workbook(spark, options.workbook)
+        else:
+            named = dict(sheet.split("=", 1) for sheet in options.sheets)
+            lead, cells = next(iter(named)), files.read_snapshot_sheets(spark, named)
+        report = reports.snapshot_report(cells, lead)
     elif options.command == "storage-report":
         if options.by_lines:
             report = reports.storage_report_lines(files.read_report_lines(spark, options.texts))

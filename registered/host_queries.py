@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opsmetrics.fixed_values import SNAPSHOT_LEVELS
 from opsmetrics.functions.numbers import (
     INFINITY,
     bytes_to_tb,
@@ -30,8 +31,10 @@ from opsmetrics.sources.files import (
     whole,
 )
 from opsmetrics.sources.tables import read_metric_history
+from opsmetrics.sources.workbooks import read_snapshot_workbook
 from opsmetrics.streaming.ingest import collect_metrics
 from registered.common import RECENT_SQL, landing, last_instant, table
+from registered.workbook_files import land_workbooks
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 LEVELS = {"used_percent": [(80, "red"), (70, "yellow")]}
@@ -403,6 +406,34 @@ WHERE date_trunc('day', ts) =
 """
 
 
+def workbook_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in workbooks of a thousand, views in one sheet with date cells and the
+    others in a second one with dates as text; read back, cut to the lead sheet's
+    last day, coloured."""
+    folder = landing(spark, "workbooks")
+    first_day = F.lit("1899-12-30").cast("date")
+    land_workbooks(
+        table(spark, sf_dir, "events").select(
+            F.floor(F.col("event_id") / 1000).alias("book"),
+            F.when(F.col("event_type") == "view", F.lit("views")).otherwise("others").alias("sheet"),
+            F.col("event_id").alias("id"),
+            F.date_diff(F.to_date("ts"), first_day).cast("double").alias("day"),
+            F.date_format(F.to_date("ts"), "d-M-yyyy H:m").alias("minute"),
+            F.col("value").alias("cpu"),
+        ),
+        folder,
+        ("views", "others"),
+    )
+    columns = ["id", "Date", *SNAPSHOT_LEVELS]
+    sheets = read_snapshot_workbook(spark, folder, columns)
+    return snapshot_report(sheets, "views").withColumn("id", F.col("id").cast("bigint"))
+
+
+WORKBOOK_SHEETS_SQL = LATEST_SHEETS_SQL.replace(
+    "event_type AS sheet", "CASE event_type WHEN 'view' THEN 'views' ELSE 'others' END AS sheet"
+)
+
+
 # --- collection ------------------------------------------------------------
 
 
@@ -597,6 +628,7 @@ QUERIES = {
     "disk_levels": (disk_levels, DISK_LEVELS_SQL),
     "host_state_report": (host_state_report, HOST_STATE_REPORT_SQL),
     "latest_sheets": (latest_sheets, LATEST_SHEETS_SQL),
+    "workbook_sheets": (workbook_sheets, WORKBOOK_SHEETS_SQL),
     "collected_metrics": (collected_metrics, COLLECTED_METRICS_SQL),
     "collected_csv_metrics": (collected_csv_metrics, COLLECTED_CSV_METRICS_SQL),
     "committed_metrics": (committed_metrics, COMMITTED_METRICS_SQL),
