@@ -33,6 +33,7 @@ from opsmetrics.sources.files import (
 from opsmetrics.sources.tables import read_metric_history
 from opsmetrics.sources.workbooks import read_snapshot_workbook
 from opsmetrics.streaming.ingest import collect_metrics
+from opsmetrics.streaming.live import keep_latest, read_latest
 from registered.common import RECENT_SQL, landing, last_instant, table
 from registered.workbook_files import land_workbooks
 
@@ -613,6 +614,32 @@ def streamed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def live_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last event of each user within a day of the last one, from a stream over the
+    events in files of mixed times, stopped halfway and begun anew: users without an
+    event in that day have gone."""
+    events = table(spark, sf_dir, "events")
+    landed, target, progress = (landing(spark, n) for n in ("events", "live", "progress"))
+    mixed = events.repartition(8, F.xxhash64("event_id"))
+    for part in range(2):
+        half = mixed.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part)
+        half.write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(landed)
+        keep_latest(
+            stream, ["user_id"], "ts", target, progress, ["event_id"], days=1,
+            partitions=spark.sparkContext.defaultParallelism,
+        ).awaitTermination()
+    live = read_latest(spark, target, events.schema, ["user_id"], "ts", ["event_id"])
+    return live.select("user_id", "event_id", "event_type", minute_text(F.col("ts")).alias("minute"))
+
+
+LIVE_USERS_SQL = """
+SELECT user_id, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M') AS minute FROM events
+WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+"""
+
+
 QUERIES = {
     "numeric_coercion": (numeric_coercion, NUMERIC_COERCION_SQL),
     "used_percent_zero": (used_percent_zero, ZERO_SHARE_SQL),
@@ -634,5 +661,6 @@ QUERIES = {
     "committed_metrics": (committed_metrics, COMMITTED_METRICS_SQL),
     "pruned_window": (pruned_window, RECENT_EVENTS_SQL),
     "unreachable_hosts": (unreachable_hosts, UNREACHABLE_HOSTS_SQL),
+    "live_users": (live_users, LIVE_USERS_SQL),
     "streamed_metrics": (streamed_metrics, MEASURED_SQL),
 }
