@@ -110,20 +110,26 @@ def to_cells(long_grid: DataFrame, row_key: str, value: str) -> DataFrame:
     value, x, y): N/A where a key has no row on a day that others have.
 
     x counts days from the left, y keys from the bottom: the first key in
-    ascending order has the greatest y. Only the distinct keys are numbered;
-    the cells of a key are made from its own states and the array of all days,
-    a scalar, so any number of days will do.
+    ascending order has the greatest y. Both come from dictionaries, of the days
+    and of the keys, each numbered once: the places of the cells are made from
+    the number of days alone, and days and states joined to them. So no row
+    ever holds all days or all states of a key.
     """
-    days = long_grid.agg(F.array_sort(F.collect_set("date"))).scalar()
-    states = long_grid.groupBy(F.col(row_key)).agg(
-        F.map_from_entries(F.collect_list(F.struct("date", F.col(value)))).alias("_states")
+    days = number_rows(
+        long_grid.select(F.col("date").alias("column_name")).distinct(), [F.col("column_name")], name="x"
     )
-    numbered = number_rows(
+    keys = number_rows(
         long_grid.select(F.col(row_key).alias("_key")).distinct(), [F.col("_key").desc()], name="y"
     )
-    placed = states.join(numbered, F.col(row_key).eqNullSafe(F.col("_key")))
-    dense = placed.select(row_key, "_states", "y", F.posexplode(days).alias("x", "column_name"))
-    state = F.try_element_at("_states", F.col("column_name"))
-    return dense.select(
-        row_key, "column_name", F.coalesce(state, F.lit(MISSING)).alias("value"), "x", "y"
+    places = keys.select(
+        "_key", "y", F.explode(F.sequence(F.lit(0), F.lit(days.count()) - 1)).alias("x")
+    )
+    dense = places.join(days.withColumn("x", F.col("x").cast("int")), "x")
+    cell = dense["_key"].eqNullSafe(long_grid[row_key]) & (dense["column_name"] == long_grid["date"])
+    return dense.join(long_grid, cell, "left").select(
+        F.col("_key").alias(row_key),
+        "column_name",
+        F.coalesce(F.col(value), F.lit(MISSING)).alias("value"),
+        "x",
+        "y",
     )

@@ -30,18 +30,22 @@ COMMITS = T.StructType(
     [
         T.StructField("batch", T.StringType()), T.StructField("attempt", T.StringType()),
         T.StructField("rows", T.LongType()), T.StructField("committed_at", T.StringType()),
+        T.StructField("number", T.LongType()), T.StructField("days", T.ArrayType(T.StringType())),
     ]
 )
 
 
 @dataclass(frozen=True)
 class Commit:
-    """What the log says about a batch."""
+    """What the log says about a batch: its attempt, rows and record dates, and a
+    number where its writer orders batches."""
 
     batch: str
     attempt: str
     rows: int
     committed_at: str
+    number: int = 0
+    days: tuple[str, ...] = ()
 
 
 def _place(spark: SparkSession, path: str):
@@ -73,14 +77,22 @@ def committed(spark: SparkSession, history: str, batch: str) -> Commit | None:
         content = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return Commit(**json.loads(content))
+    entry = json.loads(content)
+    return Commit(**{**entry, "days": tuple(entry["days"])})
 
 
-def write_attempt(
-    df: DataFrame, history: str, ts: str, rebalance: bool = False
-) -> tuple[str, int]:
-    """Write the rows of a batch beside the history, unseen by its readers, and
-    return the name of the attempt and the number of rows."""
+@dataclass(frozen=True)
+class Attempt:
+    """A batch that was written but does not count yet."""
+
+    name: str
+    rows: int
+    days: tuple[str, ...]
+
+
+def write_attempt(df: DataFrame, history: str, ts: str, rebalance: bool = False) -> Attempt:
+    """Write the rows of a batch beside the history, unseen by its readers. Rows and
+    record dates are taken down while they are written."""
     # From here on readers of the folder go by the log, even while it is empty.
     log, _ = _place(df.sparkSession, _log(history))
     log.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).mkdirs(log)
@@ -89,11 +101,12 @@ def write_attempt(
     rows = df.withColumn(RECORD_DATE, F.to_date(ts))
     if rebalance:
         rows = rows.hint("rebalance", F.col(RECORD_DATE))
+    day = F.col(RECORD_DATE).cast("string")
     (
-        rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows.observe(counted, F.count(F.lit(1)).alias("rows"), F.collect_set(day).alias("days"))
         .write.partitionBy(RECORD_DATE).parquet(_attempt_folder(history, attempt))
     )
-    return attempt, counted.get["rows"]
+    return Attempt(attempt, counted.get["rows"], tuple(sorted(counted.get["days"])))
 
 
 def _attempt_folder(history: str, attempt: str) -> str:
@@ -101,7 +114,7 @@ def _attempt_folder(history: str, attempt: str) -> str:
 
 
 def publish(
-    spark: SparkSession, history: str, batch: str, attempt: str, rows: int
+    spark: SparkSession, history: str, batch: str, attempt: Attempt, number: int = 0
 ) -> Commit:
     """Make the attempt the one that counts for its batch, unless another run was
     first; returns the commit that holds.
@@ -109,9 +122,10 @@ def publish(
     The entry is written aside and renamed, which fails if there is one
     already. So no reader finds half an entry, and of two runs one wins.
     """
-    found = Commit(batch, attempt, rows, datetime.now(timezone.utc).isoformat())
+    now = datetime.now(timezone.utc).isoformat()
+    found = Commit(batch, attempt.name, attempt.rows, now, number, attempt.days)
     target, context = _place(spark, _entry(history, batch))
-    aside, _ = _place(spark, f"{target.getParent().toString()}/.{attempt}")
+    aside, _ = _place(spark, f"{target.getParent().toString()}/.{attempt.name}")
     system = aside.getFileSystem(spark._jsc.hadoopConfiguration())
     stream = system.create(aside, True)
     try:
@@ -133,7 +147,7 @@ def publish(
 
 
 def commit_batch(
-    df: DataFrame, history: str, batch: str, ts: str, rebalance: bool = False
+    df: DataFrame, history: str, batch: str, ts: str, rebalance: bool = False, number: int = 0
 ) -> Commit:
     """Add a batch to the history, once.
 
@@ -144,10 +158,10 @@ def commit_batch(
     spark = df.sparkSession
     if (before := committed(spark, history, batch)) is not None:
         return before
-    attempt, rows = write_attempt(df, history, ts, rebalance)
-    commit = publish(spark, history, batch, attempt, rows)
-    if commit.attempt != attempt:
-        remove_folder(spark, _attempt_folder(history, attempt))
+    attempt = write_attempt(df, history, ts, rebalance)
+    commit = publish(spark, history, batch, attempt, number)
+    if commit.attempt != attempt.name:
+        remove_folder(spark, _attempt_folder(history, attempt.name))
     return commit
 
 
@@ -171,8 +185,8 @@ def has_log(spark: SparkSession, history: str) -> bool:
 
 
 def commit_log(spark: SparkSession, history: str) -> DataFrame:
-    """(batch, attempt, rows, committed_at) of every committed batch; none if there
-    is no log yet."""
+    """(batch, attempt, rows, committed_at, number, days) of every committed batch;
+    none if there is no log yet."""
     if not has_log(spark, history):
         return spark.createDataFrame([], COMMITS)
     return spark.read.schema(COMMITS).json(_log(history))

@@ -34,6 +34,7 @@ from opsmetrics.sources.files import (
     read_text_reports,
 )
 from opsmetrics.sources.tables import read_locks, read_status_history
+from opsmetrics.streaming.grid import keep_grid, read_grid
 from opsmetrics.streaming.ingest import collect_statuses
 from registered.common import landing, last_instant, table
 
@@ -161,6 +162,25 @@ def service_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return service_grid(read_status_history(spark, history), midnight, palette=PALETTE)
 
 
+def live_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cells from a grid that a stream keeps: the events arrive in files of
+    mixed times, in two runs, the second with many late ones."""
+    events = table(spark, sf_dir, "events")
+    landed, grid, progress = (landing(spark, n) for n in ("polls", "grid", "progress"))
+    polls = events.select(
+        F.format_string("service-%05d", "user_id").alias("service_name"),
+        F.col("event_type").alias("health_status"),
+        F.col("ts").alias("timestamp"),
+    )
+    for late in (False, True):
+        part = F.pmod(F.xxhash64("service_name", "timestamp"), F.lit(3)) == 0
+        polls.filter(part if late else ~part).repartition(3).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 2).parquet(landed)
+        keep_grid(stream, grid, progress, "service_name", "timestamp").awaitTermination()
+    midnight = last_instant(events).replace(hour=0, minute=0, second=0, microsecond=0)
+    return service_grid(read_grid(spark, grid, polls.schema), midnight, palette=PALETTE)
+
+
 SERVICE_CELLS_SQL = f"""
 WITH named AS (
     SELECT *, printf('service-%05d', user_id) AS service_name FROM ({GRID_WINDOW_SQL})
@@ -240,8 +260,8 @@ def committed_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, of_batch in (("priority", "="), ("others", "<>")):
         batch = rows.filter(f"service_name {of_batch} 'priority'")
         runs = [write_attempt(batch, history, "timestamp") for _ in range(2)]
-        for attempt, count in runs:
-            publish(spark, history, name, attempt, count)
+        for attempt in runs:
+            publish(spark, history, name, attempt)
         commit_status(batch, history, name)
     removed = drop_uncommitted(spark, history, datetime.now(timezone.utc) + timedelta(hours=1))
     return read_status_history(spark, history).select(
@@ -593,6 +613,7 @@ QUERIES = {
     "grid_cells": (grid_cells, GRID_CELLS_SQL),
     "snapshot_flatten": (snapshot_flatten, SERVICES_SQL),
     "service_grid": (service_cells, SERVICE_CELLS_SQL),
+    "live_grid": (live_cells, SERVICE_CELLS_SQL),
     "streamed_statuses": (streamed_statuses, STREAMED_STATUSES_SQL),
     "emptied_report": (emptied_report, EMPTIED_REPORT_SQL),
     "storage_files": (storage_files, STORAGE_FILES_SQL),

@@ -39,7 +39,7 @@ def test_repeated_batch_counts_once(spark, tmp_path):
     history = str(tmp_path / "history")
     first = commit_status(batch(spark, "hive", "yarn"), history, "a")
     again = commit_status(batch(spark, "other"), history, "a")
-    assert again == first and first.rows == 2
+    assert again == first and first.rows == 2 and first.days == ("2024-02-01", "2024-02-02")
     commit_status(batch(spark, "hive"), history, "b/2024 %")
     assert names(spark, history) == ["hive", "hive", "yarn"]
     assert {r.batch: r.rows for r in commit_log(spark, history).collect()} == {"a": 2, "b/2024 %": 1}
@@ -66,9 +66,9 @@ def test_killed_run_leaves_nothing(spark, tmp_path, monkeypatch):
 
 def test_attempts_under_way_stay(spark, tmp_path):
     history = str(tmp_path / "history")
-    attempt, rows = write_attempt(batch(spark, "hive"), history, "timestamp")
+    attempt = write_attempt(batch(spark, "hive"), history, "timestamp")
     assert drop_uncommitted(spark, history, DAY) == []
-    publish(spark, history, "a", attempt, rows)
+    publish(spark, history, "a", attempt)
     assert names(spark, history) == ["hive"]
 
 
@@ -88,10 +88,10 @@ def test_incomplete_batch_fails_as_a_whole(spark, tmp_path):
 def test_first_of_two_runs_counts(spark, tmp_path):
     history = str(tmp_path / "history")
     runs = [write_attempt(batch(spark, n), history, "timestamp") for n in ("first", "second")]
-    found = [publish(spark, history, "a", *run) for run in runs]
-    assert found[0] == found[1] and found[0].attempt == runs[0][0]
+    found = [publish(spark, history, "a", run) for run in runs]
+    assert found[0] == found[1] and found[0].attempt == runs[0].name
     assert names(spark, history) == ["first"]
-    assert drop_uncommitted(spark, history, LATER) == [runs[1][0]]
+    assert drop_uncommitted(spark, history, LATER) == [runs[1].name]
 
 
 def test_runs_side_by_side(spark, tmp_path):
