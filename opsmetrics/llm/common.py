@@ -6,6 +6,9 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +64,25 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]
         spark.conf.set(BATCH_SETTING, before)
 
 
+def text_parts(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of `most` bytes of text, or one longer text."""
+    sizes = pc.binary_length(batch.column("text")).to_pylist()
+    first = held = 0
+    for row, size in enumerate(sizes):
+        if held and held + size > most:
+            yield batch.slice(first, row - first)
+            first, held = row, 0
+        held += size
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
+def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The indexes of consecutive runs, one behind the other."""
+    ends = lengths.cumsum()
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
 def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join `table` (one row per key, already staged) to `rows`; missing keys
     are equal to each other.

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator, Mapping
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsmetrics.llm.common import small_batches, staged, text_or_empty
+from opsmetrics.llm.common import runs, small_batches, staged, text_or_empty, text_parts
 
 CAPACITY = 4096
 END_ID = 1
@@ -22,6 +25,8 @@ PRICED = 64
 STEP = 1.0
 RATE = 6.0
 SCARCER = 0.9
+# Texts are encoded together up to so many bytes.
+BATCH_BYTES = 1 << 22
 # Lengths tried first to fill what the program leaves.
 FILLERS = 96
 # Pieces of one length are numbered in so many parts.
@@ -79,13 +84,66 @@ class WordIds(dict):
     def packed(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def of(self, text: str) -> bytes:
+    @staticmethod
+    def fits(tokenizer_file: str) -> bool:
+        """Whether the parts of the tokenizer are those this class is right for."""
+        with open(tokenizer_file, encoding="utf-8") as file:
+            parts = json.load(file)
+        cleaned = (parts.get("normalizer") or {}).get("normalizers", [])
+        split = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        return (
+            [c["type"] for c in cleaned] == ["NFC", "Replace", "Lowercase"]
+            and cleaned[1]["pattern"] == {"Regex": "\\s+"} and cleaned[1]["content"] == " "
+            and [c["type"] for c in split] == ["Split", "ByteLevel"]
+            and split[0]["behavior"] == "Removed" and split[0]["invert"]
+            and not split[1]["add_prefix_space"]
+            and parts["model"]["type"] == "BPE" and bool(parts["model"]["end_of_word_suffix"])
+        )
+
+    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one behind the other, and how many each text has.
+
+        Words are split and numbered by Arrow; only the distinct ones are looked
+        up, and their ids put in the places of all.
+        """
         for blank in "\n\t\r\x0b\x0c":
-            text = text.replace(blank, " ")
-        return b"".join(map(self.__getitem__, text.split(" ")))
+            texts = pc.replace_substring(texts, blank, " ")
+        split = pc.split_pattern(texts, " ")
+        coded = split.flatten().dictionary_encode()
+        raw = [self[word] for word in coded.dictionary.to_pylist()]
+        sizes = np.array([len(r) // 4 for r in raw], dtype=np.int64)
+        known = np.frombuffer(b"".join(raw), dtype="<u4")
+        number = coded.indices.to_numpy(zero_copy_only=False)
+        ids = known[runs((sizes.cumsum() - sizes)[number], sizes[number])]
+        bounds = np.concatenate([[0], sizes[number].cumsum()])[split.offsets.to_numpy()]
+        return ids, np.diff(bounds)
+
+
+class WholeTexts:
+    """Ids of whole texts, for tokenizers whose words cannot be taken apart."""
 
+    def __init__(self, tokenizer_file: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
 
-_words: dict[str, WordIds] = {}
+    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [
+            e.ids for e in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)
+        ]
+        sizes = np.array([*map(len, found)], dtype=np.int64)
+        return np.fromiter(chain.from_iterable(found), dtype="<u4", count=sizes.sum()), sizes
+
+
+_encoders: dict[str, WordIds | WholeTexts] = {}
+
+
+def encoder(tokenizer_file: str) -> WordIds | WholeTexts:
+    """One per worker process, kept for its next task."""
+    if tokenizer_file not in _encoders:
+        kind = WordIds if WordIds.fits(tokenizer_file) else WholeTexts
+        _encoders[tokenizer_file] = kind(tokenizer_file)
+    return _encoders[tokenizer_file]
 
 
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> DataFrame:
@@ -96,32 +154,30 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY)
     numbers the pieces of a task round and round, to split hot lengths later.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    end = np.array([END_ID], dtype="<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_file not in _words:
-            _words[tokenizer_file] = WordIds(tokenizer_file)
-        ids_of = _words[tokenizer_file].of
-        made = 0
-        for batch in batches:
-            rows, places, lengths, sums = [], [], [], []
-            for row, text in enumerate(batch.column("text")):
-                ids = memoryview(ids_of(text.as_py()) + end)
-                for start in range(0, len(ids) // 4, capacity):
-                    piece = ids[4 * start : 4 * (start + capacity)]
-                    rows.append(row)
-                    places.append(start)
-                    lengths.append(len(piece) // 4)
-                    sums.append(zlib.crc32(piece))
-            start = np.array(places, dtype=np.int64)
+        known, made = encoder(tokenizer_file), 0
+        for batch in (part for whole in batches for part in text_parts(whole, BATCH_BYTES)):
+            ids, sizes = known.of_texts(batch.column("text"))
+            # Every document has an end behind its ids.
+            ids = memoryview(np.insert(ids, sizes.cumsum(), END_ID).astype("<u4").tobytes())
+            sizes += 1
+            cut = -(-sizes // capacity)
+            rows = np.repeat(np.arange(len(sizes)), cut)
+            number = runs(np.zeros(len(sizes), dtype=np.int64), cut)
+            length = np.minimum(sizes[rows] - number * capacity, capacity)
+            ends = 4 * length.cumsum()
+            sums = [
+                zlib.crc32(ids[a:b]) for a, b in zip((ends - 4 * length).tolist(), ends.tolist())
+            ]
             part = (made + np.arange(len(rows))) % PARTS
             made += len(rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(rows, pa.int64())),
-                    pa.array((start // capacity).astype(np.int32)),
-                    pa.array(start),
-                    pa.array(lengths, pa.int64()),
+                    batch.column("doc_id").take(pa.array(rows)),
+                    pa.array(number.astype(np.int32)),
+                    pa.array(number * capacity),
+                    pa.array(length),
                     pa.array(sums, pa.int64()),
                     pa.array(part.astype(np.int32)),
                 ],

@@ -15,12 +15,11 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsmetrics.llm.common import small_batches, staged, text_or_empty
+from opsmetrics.llm.common import runs, small_batches, staged, text_or_empty, text_parts
 
 # The most frequently linked pairs are sent to all tasks, so many at most; the links
 # of the others are joined.
@@ -107,12 +106,6 @@ class PieceTokens:
         return self._model.encode(list(texts), num_threads=1)
 
 
-def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The indexes of consecutive runs, one behind the other."""
-    ends = lengths.cumsum()
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
-
-
 def sums_between(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The sums of `values` between each of the `bounds` and the next."""
     total = np.concatenate([[0], values.cumsum()])
@@ -339,19 +332,6 @@ def aligner(file_a: str, file_b: str) -> Aligner:
     return _aligners[file_a, file_b]
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of BATCH_BYTES of text, or one longer text."""
-    sizes = pc.binary_length(batch.column("text")).to_pylist()
-    first = held = 0
-    for row, size in enumerate(sizes):
-        if held and held + size > BATCH_BYTES:
-            yield batch.slice(first, row - first)
-            first, held = row, 0
-        held += size
-    if first < batch.num_rows:
-        yield batch.slice(first)
-
-
 def aligned_documents(docs: DataFrame, file_a: str, file_b: str) -> DataFrame:
     """(row, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, pairs, links), stored.
 
@@ -365,7 +345,7 @@ def aligned_documents(docs: DataFrame, file_a: str, file_b: str) -> DataFrame:
         known = aligner(file_a, file_b)
         made = TaskContext.get().partitionId() << 36
         for batch in batches:
-            for part in _parts(batch):
+            for part in text_parts(batch, BATCH_BYTES):
                 n_a, n_b, n_groups, n_links, digests, ends, pairs, links = known.align(
                     part.column("text").to_pylist()
                 )

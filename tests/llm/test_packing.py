@@ -3,12 +3,14 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from opsmetrics.llm.packing import WordIds, pack_documents, packing_plan
+from opsmetrics.llm.common import text_parts
+from opsmetrics.llm.packing import WholeTexts, WordIds, encoder, pack_documents, packing_plan
 from opsmetrics.llm.queries import op3_packed_sequences
 from tests.llm.conftest import SF
 from tests.llm.rows import awkward, clashing, frame
@@ -73,7 +75,25 @@ def test_awkward_rows(spark, tokenizer):
 def test_ids_of_words_are_ids_of_the_text(text):
     words = WordIds(FILE)
     ids = words.tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(words.of(text), "<u4").tolist() == ids
+    found, sizes = words.of_texts(pa.array([text, "", text]))
+    assert found.tolist() == ids + ids and sizes.tolist() == [len(ids), 0, len(ids)]
+
+
+def test_other_tokenizers_encode_whole_texts(spark):
+    """A byte-level one, whose words cannot be taken apart, and clashing names."""
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert isinstance(encoder(other), WholeTexts) and isinstance(encoder(FILE), WordIds)
+    rows = awkward()
+    found = pack_documents(clashing(frame(spark)), other).collect()
+    check(found, [(r[0], r[1]) for r in rows], Tokenizer.from_file(other), 4096)
+
+
+def test_texts_are_encoded_in_parts():
+    rows = awkward()
+    pieces = pa.RecordBatch.from_pydict({"text": [r[1] or "" for r in rows]})
+    parts = list(text_parts(pieces, 40))
+    assert pa.Table.from_batches(parts).column("text").to_pylist() == pieces.column("text").to_pylist()
+    assert all(p.num_rows == 1 or sum(len(t.encode()) for t in p.column("text").to_pylist()) <= 40 for p in parts)
 
 
 def test_plan_holds_every_length_once():
