@@ -36,29 +36,42 @@ _FACTORS = (
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _joined(texts: list[bytes | None]) -> tuple[bytes, list[int]]:
+    """Texts as one run of bytes, and the length of each: words in lower case (A-Z)
+    with a blank after each, then an end, preceded by ORDER bytes that stand for
+    the beginning."""
+    start, end = bytes([BEFORE]) * ORDER, bytes([END])
+    parts = []
+    for text in texts:
+        words = (text or b"").lower().split()
+        parts.append(start + b" ".join(words) + (b" " if words else b"") + end)
+    return b"".join(parts), [*map(len, parts)]
+
+
+def _keys(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Context and next byte at each place that has a byte, and which those are.
+
+    A key is read at once, as eight bytes from its context's first one on, of
+    which the last two are dropped.
+    """
+    data = np.frombuffer(joined, dtype=np.uint8)
+    real = data != BEFORE
+    wide = np.ndarray((max(len(data) - ORDER, 0),), ">u8", joined + bytes(7 - ORDER), strides=(1,))
+    keys = wide[real[ORDER:]].astype(np.uint64)
+    keys >>= np.uint64(8 * (7 - ORDER))
+    return keys, real
+
+
 class Stream:
-    """Documents as one run of bytes: words in lower case (A-Z) with a blank after
-    each, then an end, preceded by ORDER bytes that stand for the beginning."""
+    """The contexts and tokens of documents."""
 
     def __init__(self, texts: list[bytes | None]):
-        start, end = bytes([BEFORE]) * ORDER, bytes([END])
-        parts = []
-        for text in texts:
-            words = (text or b"").lower().split()
-            parts.append(start + b" ".join(words) + (b" " if words else b"") + end)
-        lengths = np.array([len(p) for p in parts], dtype=np.int64)
-        data = np.frombuffer(b"".join(parts), dtype=np.uint8)
-        del parts
+        joined, lengths = _joined(texts)
+        lengths = np.array(lengths, dtype=np.int64)
+        data = np.frombuffer(joined, dtype=np.uint8)
         self.rows = len(lengths)
-        keys = data.astype(np.uint64)
-        for k in range(1, ORDER + 1):
-            shifted = data[:-k].astype(np.uint64)
-            shifted <<= np.uint64(8 * k)
-            keys[k:] |= shifted
-        real = data != BEFORE
         #: Context and next byte of each position, and its row.
-        self.keys = keys[real]
-        del keys
+        self.keys, real = _keys(joined)
         self.row = np.repeat(np.arange(self.rows, dtype=np.int32), lengths - ORDER)
         data = data[real]
         last = (data == 0x20) | (data == END)
@@ -77,16 +90,37 @@ class Stream:
             values ^= values >> np.uint64(29)
             values *= _MIX
             self.tokens[start : start + _STEP] = np.add.reduceat(values, own - own[0])
+        # One bit is left for `_counted`.
+        self.tokens >>= np.uint64(1)
 
 
 def _counted(values: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values, ascending, and how often each occurs in training."""
-    seen, counts = np.unique(values[trained], return_counts=True)
-    other = np.unique(values[~trained])
-    every = np.union1d(seen, other)
-    total = np.zeros(len(every), dtype=np.int64)
-    total[np.searchsorted(every, seen)] = counts
-    return every, total
+    """The distinct values (of up to 63 bits), ascending, and how often each occurs
+    in training: both from one sort, in which that is the last bit."""
+    marked = values << np.uint64(1)
+    marked |= trained
+    marked.sort()
+    first = _firsts(marked >> np.uint64(1))
+    if not len(first):
+        return values, np.zeros(0, dtype=np.int64)
+    counts = np.add.reduceat((marked & np.uint64(1)).astype(np.int64), first)
+    return marked[first] >> np.uint64(1), counts
+
+
+def _firsts(ascending: np.ndarray) -> np.ndarray:
+    """Where each distinct value of a sorted array begins."""
+    new = np.ones(len(ascending), dtype=bool)
+    np.not_equal(ascending[1:], ascending[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and the number of each value among them."""
+    codes, distinct = pd.factorize(values)
+    order = distinct.argsort()
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.arange(len(order))
+    return distinct[order], number[codes]
 
 
 def _range_of(values: np.ndarray, ranges: int) -> np.ndarray:
@@ -190,6 +224,8 @@ def _unpacked_keys(raw: bytes) -> np.ndarray:
 
 def _by_range(values: np.ndarray, ranges: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(range, places of its values in ascending order), ranges ascending."""
+    # There are few enough ranges for a radix sort.
+    ranges = ranges.astype(np.int16)
     order = np.argsort(ranges, kind="stable")
     cuts = np.flatnonzero(np.diff(ranges[order])) + 1
     for places in np.split(order, cuts):
@@ -225,7 +261,7 @@ def _low_counts(texts: DataFrame) -> pa.Table:
         yield pa.RecordBatch.from_pydict({"gram": [-1], "n": [size]})
 
     def totals(texts: list[bytes]) -> pa.RecordBatch:
-        keys = Stream(texts).keys & np.uint64(grams - 1)
+        keys = _keys(_joined(texts)[0])[0] & np.uint64(grams - 1)
         found = np.bincount(keys.astype(np.int64), minlength=1)
         at = np.flatnonzero(found)
         return pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], ["gram", "n"])
@@ -271,21 +307,19 @@ def score_texts(docs: DataFrame, trained: Column) -> DataFrame:
         "block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
     )
 
-    def parts(table: pa.Table) -> tuple[Stream, np.ndarray, list]:
-        stream = Stream(table.column("text").to_pylist())
-        trained = table.column("trained").to_numpy(zero_copy_only=False).astype(bool)
-        grams = _counted(stream.keys, trained[stream.row])
-        words = _counted(stream.tokens, trained[stream.token_row])
-        return stream, trained, [
-            (GRAMS, *grams, _gram_range(grams[0], ranges)),
-            (WORDS, *words, _range_of(words[0], ranges)),
-        ]
+    def range_of(kind: int, keys: np.ndarray) -> np.ndarray:
+        return _gram_range(keys, ranges) if kind == GRAMS else _range_of(keys, ranges)
 
     def asked(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
+        stream = Stream(table.column("text").to_pylist())
+        trained = table.column("trained").to_numpy(zero_copy_only=False).astype(bool)
         rows = []
-        for kind, keys, counts, places in parts(table)[2]:
-            for r, at in _by_range(keys, places):
+        for kind, keys, counts in (
+            (GRAMS, *_counted(stream.keys, trained[stream.row])),
+            (WORDS, *_counted(stream.tokens, trained[stream.token_row])),
+        ):
+            for r, at in _by_range(keys, range_of(kind, keys)):
                 packed = _packed_keys(keys[at]) if kind == GRAMS else keys[at].astype("<u8").tobytes()
                 rows.append((kind, r, block, packed, counts[at].astype("<u4").tobytes()))
         names = ("kind", "range", "block", "keys", "counts")
@@ -332,22 +366,19 @@ def score_texts(docs: DataFrame, trained: Column) -> DataFrame:
     tokens, types = known[0] or 0, known[1] or 0
 
     def added(left: pa.Table, right: pa.Table) -> pa.Table:
-        stream, trained, asked_parts = parts(left)
+        stream = Stream(left.column("text").to_pylist())
         by_kind: dict[int, dict[int, bytes]] = {GRAMS: {}, WORDS: {}}
         for kind, r, values in zip(*(right.column(c).to_pylist() for c in ("kind", "range", "values"))):
             by_kind[kind][r] = values
         found = []
-        for kind, keys, _, places in asked_parts:
+        for kind, all_keys in ((GRAMS, stream.keys), (WORDS, stream.tokens)):
+            keys, number = _numbered(all_keys)
             values = np.empty(len(keys))
-            for r, at in _by_range(keys, places):
+            for r, at in _by_range(keys, range_of(kind, keys)):
                 values[at] = np.frombuffer(by_kind[kind][r], "<f4" if kind == GRAMS else "<f8")
-            found.append((pd.Index(keys.view(np.int64)), values))
-        (grams, logs), (words, counts) = found
-        score = np.bincount(
-            stream.row, weights=logs[grams.get_indexer(stream.keys.view(np.int64))],
-            minlength=stream.rows,
-        )
-        own = counts[words.get_indexer(stream.tokens.view(np.int64))]
+            found.append(values[number])
+        logs, own = found
+        score = np.bincount(stream.row, weights=logs, minlength=stream.rows)
         n = np.bincount(stream.token_row, minlength=stream.rows)
         count = lambda w: np.bincount(stream.token_row, weights=w, minlength=stream.rows)
         return pa.table(
