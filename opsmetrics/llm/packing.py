@@ -25,16 +25,19 @@ PRICED = 64
 STEP = 1.0
 RATE = 6.0
 SCARCER = 0.9
-# Texts are encoded together up to so many bytes.
-BATCH_BYTES = 1 << 22
+# Texts are encoded together up to so many bytes and rows.
+BATCH_BYTES = 12 << 20
+BATCH_DOCUMENTS = 3000
 # Lengths tried first to fill what the program leaves.
 FILLERS = 96
 # Pieces of one length are numbered in so many parts.
 PARTS = 64
-# Words whose ids a worker keeps, later new ones are encoded each time; and up to how
-# many it also keeps their forms with capitals or a mark, which it else puts together.
-CACHED_WORDS = 700_000
-CACHED_FORMS = 300_000
+# Words whose ids a worker keeps, later new ones are encoded each time; up to how many
+# of them it can take apart further forms by; and up to how many it also keeps those
+# with capitals or a mark for that.
+SEEN_WORDS = 1_500_000
+CACHED_WORDS = 400_000
+CACHED_FORMS = 150_000
 
 Plan = list[tuple[dict[int, int], int]]
 
@@ -58,6 +61,9 @@ class WordIds(dict):
             add_prefix_space=False, use_regex=False
         ).pre_tokenize_str
         self[""] = b""
+        #: Words of earlier batches, the number of ids of each, and all their ids.
+        self.seen = pa.array([], pa.string())
+        self.sizes, self.ids = np.zeros(0, dtype=np.int64), np.zeros(0, dtype="<u4")
 
     def __missing__(self, word: str) -> bytes:
         most = CACHED_WORDS
@@ -103,17 +109,27 @@ class WordIds(dict):
     def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one behind the other, and how many each text has.
 
-        Words are split and numbered by Arrow; only the distinct ones are looked
-        up, and their ids put in the places of all.
+        Words are split and numbered by Arrow; only those that were not seen before
+        are looked up, and their ids put in the places of all.
         """
         for blank in "\n\t\r\x0b\x0c":
             texts = pc.replace_substring(texts, blank, " ")
+        # Case is folded anyway, but special tokens are told apart by it.
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)
         split = pc.split_pattern(texts, " ")
         coded = split.flatten().dictionary_encode()
-        raw = [self[word] for word in coded.dictionary.to_pylist()]
-        sizes = np.array([len(r) // 4 for r in raw], dtype=np.int64)
-        known = np.frombuffer(b"".join(raw), dtype="<u4")
-        number = coded.indices.to_numpy(zero_copy_only=False)
+        place = pc.index_in(coded.dictionary, value_set=self.seen)
+        new = coded.dictionary.filter(pc.is_null(place))
+        raw = [self[word] for word in new.to_pylist()]
+        sizes = np.concatenate([self.sizes, np.array([len(r) // 4 for r in raw], dtype=np.int64)])
+        known = np.concatenate([self.ids, np.frombuffer(b"".join(raw), dtype="<u4")])
+        place = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = len(self.seen) + np.arange(len(new))
+        if len(sizes) <= SEEN_WORDS:
+            self.seen = pa.concat_arrays([self.seen, new])
+            self.sizes, self.ids = sizes, known
+        number = place[coded.indices.to_numpy(zero_copy_only=False)]
         ids = known[runs((sizes.cumsum() - sizes)[number], sizes[number])]
         bounds = np.concatenate([[0], sizes[number].cumsum()])[split.offsets.to_numpy()]
         return ids, np.diff(bounds)
@@ -354,7 +370,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUND
     and only the plan for it, whose size it bounds, goes to the tasks. Pieces
     of a length are numbered within parts, and the parts one after another.
     """
-    with small_batches(pieces.sparkSession):
+    with small_batches(pieces.sparkSession, BATCH_DOCUMENTS):
         pieces = staged(pieces, "pieces")
     sizes = staged(pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "lengths")
     histogram = sizes.groupBy("length").agg(F.sum("n").alias("n"))
