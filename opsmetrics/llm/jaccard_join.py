@@ -25,7 +25,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TABLE_BITS = 25
 # Tokens of so many documents at least are frequent; above, a level per doubling.
 FREQUENT = 9
-# Similar sets share at least SHARED tokens among their first ones.
+# Similar sets share at least SHARED tokens among their first ones, or as many as two
+# linked sets that differ share at all, if that is less.
 SHARED = 4
 # In a posting list of at most PAIRED sets all pairs are counted.
 PAIRED = 8
@@ -44,6 +45,13 @@ def _ratio(part: int, whole: int, n: int) -> int:
     return -(-n * part // whole)
 
 
+def least_overlap(link: tuple[int, int]) -> int | None:
+    """The fewest tokens that two linked sets that differ can share; None if only
+    equal sets link."""
+    part, whole = link
+    return -(-part // (whole - part)) if part < whole else None
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _MIX[0]
     x = (x ^ (x >> np.uint64(29))) * _MIX[1]
@@ -180,7 +188,7 @@ def class_sets(hashed: DataFrame, length: int, link: tuple[int, int]) -> DataFra
     sets through.)
     """
     part, whole = link
-    least = _ratio(part, whole - part, 1)
+    least = least_overlap(link)
     table = hashed.sparkSession.sparkContext.broadcast(token_levels(hashed, length))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +202,7 @@ def class_sets(hashed: DataFrame, length: int, link: tuple[int, int]) -> DataFra
                 sizes.append(n)
                 digest = hashlib.blake2b(tokens.tobytes(), digest_size=8).digest()
                 classes.append(int.from_bytes(digest, "little", signed=True))
-                if n >= least and int(shared.sum()) >= _ratio(part, whole, n):
+                if least is not None and n >= least and int(shared.sum()) >= _ratio(part, whole, n):
                     key = (level[shared].astype(np.int64) << 59) | (
                         tokens[shared] >> np.uint64(5)
                     ).astype(np.int64)
@@ -222,12 +230,13 @@ def class_sets(hashed: DataFrame, length: int, link: tuple[int, int]) -> DataFra
 def candidate_edges(classes: DataFrame, link: tuple[int, int]) -> DataFrame:
     """(a, b): pairs of classes such that any two that may be linked are connected.
 
-    Two linked sets share SHARED tokens among the first of their globally ordered
-    ones. Sets are listed under each of those. Pairs from short lists are
-    counted and must reach SHARED; the members of a long list, which only
+    Two linked sets share SHARED tokens, or all that they must share, among the first
+    of their globally ordered ones. Sets are listed under each of those. Pairs
+    from short lists are counted and must reach that number; the members of a long list, which only
     frequent tokens have, are all tied to one of them.
     """
     part, whole = link
+    asked = min(SHARED, least_overlap(link) or SHARED)
     spark = classes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -239,7 +248,7 @@ def candidate_edges(classes: DataFrame, link: tuple[int, int]) -> DataFrame:
             for name, n, raw in zip(names, sizes, batch.column("tokens").to_pylist()):
                 tokens = np.frombuffer(raw, "<i8")
                 alone = n - len(tokens)
-                first = tokens[: n - _ratio(part, whole, n) + SHARED - alone]
+                first = tokens[: max(n - _ratio(part, whole, n) + asked - alone, 0)]
                 place = np.arange(alone, alone + len(first))
                 out.append((first, np.full(len(first), name), np.full(len(first), n), place))
             if out:
@@ -266,7 +275,7 @@ def candidate_edges(classes: DataFrame, link: tuple[int, int]) -> DataFrame:
             i = np.flatnonzero((length[:-step] <= PAIRED) & (run[:-step] == run[step:]))
             j = i + step
             need = -(-(n[i] + n[j]) * part // (part + whole))
-            most = SHARED + np.minimum(n[i] - place[i] - 1, n[j] - place[j] - 1)
+            most = asked + np.minimum(n[i] - place[i] - 1, n[j] - place[j] - 1)
             good = (n[i] * whole >= n[j] * part) & (most >= need)
             a.append(name[i[good]])
             b.append(name[j[good]])
@@ -280,7 +289,7 @@ def candidate_edges(classes: DataFrame, link: tuple[int, int]) -> DataFrame:
             tied = head != long
             a.append(name[head[tied]])
             b.append(name[long[tied]])
-            weight.append(np.full(int(tied.sum()), SHARED))
+            weight.append(np.full(int(tied.sum()), asked))
         a, b, weight = (np.concatenate(c) for c in (a, b, weight))
         low, high = np.minimum(a, b), np.maximum(a, b)
         pairs, places = np.unique(np.stack([low, high]), axis=1, return_inverse=True)
@@ -297,7 +306,7 @@ def candidate_edges(classes: DataFrame, link: tuple[int, int]) -> DataFrame:
     )
     return (
         counted.groupBy("a", "b").agg(F.sum("weight").alias("weight"))
-        .filter(F.col("weight") >= SHARED).select("a", "b")
+        .filter(F.col("weight") >= asked).select("a", "b")
     )
 
 

@@ -63,6 +63,17 @@ def test_copies_and_edits(spark, link, length):
     )
 
 
+@pytest.mark.parametrize("part", [10, 25, 34, 50, 60, 67, 75, 80, 90, 100])
+def test_small_sets_at_any_ratio(spark, part):
+    """Sets that need to share one token only, or must be equal."""
+    random.seed(part)
+    texts = {i: " ".join(random.choices("abcdefghijklmnop", k=random.randint(1, 7))) for i in range(150)}
+    texts |= {1000: "q r s t", 1001: "q r s u", 1002: "q r s t"}
+    rows = [(d, t, None, None, None) for d, t in texts.items()]
+    joined = jaccard_components(frame(spark, rows), 2, (part, 100))
+    assert found(joined) == plain_components(texts, 2, part, 100)
+
+
 def test_blocks_of_a_large_cluster(spark, monkeypatch):
     monkeypatch.setattr(jj, "BLOCK_SETS", 4)
     base = [f"w{i}" for i in range(100)]
