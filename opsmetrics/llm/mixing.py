@@ -175,12 +175,16 @@ def mix_sources(
     The order of taking is a hash of doc_id, so reruns agree and equal ids are
     taken together. Missing text has no words; a missing source is a source of
     its own, the last; documents without words never count, but have the
-    copies their hash gives. An empty table gives an empty result.
+    copies their hash gives. An empty table gives an empty result. Columns of
+    `docs` of any names stay, but for the three that are added: these are new.
     """
     size = word_count(F.col("text")) if size is None else size
     key = hash_of(F.col("doc_id"))
     sizes = staged(docs.select("source", size.alias("size"), key.alias("hash")), "mix-sizes")
-    return _mixed(docs.withColumn("_hash", key), sizes, weights, share, most_repeats).drop("_hash")
+    added = ["source_size", "target", "copies"]
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "source", key.alias("_hash"))
+    kept = [F.col("_row")[c].alias(c) for c in docs.columns if c not in added]
+    return _mixed(rows, sizes, weights, share, most_repeats).select(*kept, *added)
 
 
 def _mixed(docs, sizes, weights, share, most_repeats) -> DataFrame:

@@ -5,7 +5,7 @@ from opsmetrics.llm.mixing import MIX_SQL, mix_sources, mixed_sizes
 from opsmetrics.llm.queries import op2_source_mix
 from tests.comparison import difference, duckdb_on
 from tests.llm.conftest import SF
-from tests.llm.rows import clashing, frame
+from tests.llm.rows import CLASHING, clashing, frame
 
 
 def test_equals_sql(spark):
@@ -37,10 +37,17 @@ def test_without_words_or_rows(spark):
 
 
 def test_other_columns_stay(spark):
-    df = clashing(frame(spark)).drop("copies", "target", "limits")
+    own = ["_hash", "hash", "open", "prefix", "source_size", "round", "budget", "_row", "key"]
+    df = clashing(frame(spark)).select("*", *[F.lit("theirs").alias(c) for c in own if c != "hash"])
     mixed = mix_sources(df)
-    assert mixed.filter(F.col("size") != "theirs").isEmpty()
-    assert mixed.count() == 17
+    added = {"source_size", "target", "copies"}
+    assert sorted(mixed.columns) == sorted({*df.columns, *added})
+    for name in {*CLASHING, *own} - added:
+        assert mixed.filter(F.col(name) != "theirs").isEmpty()
+    plain = mix_sources(frame(spark)).select("doc_id", *sorted(added))
+    assert sorted(map(tuple, mixed.select("doc_id", *sorted(added)).collect()), key=repr) == sorted(
+        map(tuple, plain.collect()), key=repr
+    )
 
 
 @pytest.mark.parametrize("share", [0.2, 1.0])
