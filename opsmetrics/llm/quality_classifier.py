@@ -239,11 +239,11 @@ def fit_model(texts: pa.Array, labels: np.ndarray) -> Model:
 def train_classifier(docs: DataFrame, labels: DataFrame, fitted_rows: int = FITTED_ROWS) -> Model:
     """The model of `labels` (doc_id, label 0 or 1) on the texts of `docs`.
 
-    At most `fitted_rows` labelled documents are used, those with the least
-    hashes of their doc_id; only they are looked up, by a broadcast of that
-    bounded list, and one task fits them. Labels without a document, and
-    missing ones, are passed over; of several labels of one document the
-    smaller counts.
+    At most `fitted_rows` labelled rows are used, those with the least hashes of
+    their doc_id; only they are looked up, by a broadcast of that bounded list,
+    and one task fits them. Labels without a document, and missing ones, are
+    passed over; of several labels of one document the smaller counts, and of
+    several texts of one doc_id the least, so that repeated ids do not add rows.
     """
     chosen = (
         labels.filter("label IS NOT NULL AND doc_id IS NOT NULL")
@@ -252,7 +252,7 @@ def train_classifier(docs: DataFrame, labels: DataFrame, fitted_rows: int = FITT
     )
     sample = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text")).join(
         F.broadcast(chosen), "doc_id"
-    )
+    ).groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
 
     def fitted(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("doc_id")

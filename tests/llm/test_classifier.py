@@ -52,6 +52,15 @@ def test_awkward_rows(spark):
     assert score_documents(frame(spark, []), empty).count() == 0
 
 
+def test_repeated_ids_keep_the_bound(spark, monkeypatch):
+    """However often an id is repeated, one of its texts reaches the fit."""
+    rows = [(i % 2, f"{'good' if i % 2 else 'bad'} words {i}", None, None, None) for i in range(2000)]
+    labels = spark.createDataFrame([(0, 0), (1, 1), (5, 1)], "doc_id long, label int")
+    once = [r for r in rows if r[1] in ("bad words 0", "good words 1")]
+    many, few = (train_classifier(frame(spark, r), labels, 2) for r in (rows, once))
+    assert np.array_equal(many.weights, few.weights) and many.slope == few.slope
+
+
 def test_features_of_a_text_do_not_depend_on_its_neighbours():
     texts = ["Ab, cd!!", "", "x x x x", "é***", None or "", "Ab, cd!!", " ", "a\nb"]
     alone = [
