@@ -22,9 +22,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsmetrics.llm.common import attach, new_folder, staged
-from opsmetrics.llm.zip_ranges import STORED, data_start, members, open_ranges, read_range
+from opsmetrics.llm.zip_ranges import (
+    STORED,
+    Member,
+    data_start,
+    members,
+    open_ranges,
+    read_range,
+)
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
+MEMBER = re.compile(r"archive/.+\.warc\.gz")
+# Bytes of a range that are decompressed at a time.
+PIECE = 1 << 14
 # Fixed values of the WARC format.
 VERSION = b"WARC/1.1"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -224,8 +234,10 @@ def record_spans(archives: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame
     """(archive, start, length): ranges of whole neighbouring records of at most
     about `span_bytes`, from the directories and indexes of the packages.
 
-    Compressed members cannot be read by ranges and fail; a package without an
-    index is scanned for its records.
+    All members `archive/*.warc.gz` are read. Where the package has an index of
+    this library's making, it names the records of its member; other members are
+    scanned for theirs. Members that the package holds compressed cannot be
+    read by ranges and fail, as does a package without any such member.
     """
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,48 +245,58 @@ def record_spans(archives: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame
             for archive in batch.column("archive").to_pylist():
                 with open_ranges(archive) as file:
                     found = {m.name: m for m in members(file)}
-                    if DATA not in found:
-                        continue
-                    if any(found[n].method != STORED for n in (DATA, INDEX) if n in found):
-                        raise ValueError(f"members of {archive} are compressed")
-                    base = data_start(file, found[DATA])
-                    if INDEX in found:
-                        lines = _index_lines(
-                            file, data_start(file, found[INDEX]), found[INDEX].size
-                        )
-                        places = (tuple(map(int, line.split()[-2:])) for line in lines)
-                    else:
-                        places = _scanned(file, base, found[DATA].size)
-                    rows, start, end = [], None, 0
-                    for place, length in places:
-                        if start is not None and (place != end or place + length - start > span_bytes):
-                            rows.append((archive, base + start, end - start))
-                            start = None
-                        start = place if start is None else start
-                        end = place + length
-                    if start is not None:
-                        rows.append((archive, base + start, end - start))
-                    names = ("archive", "start", "length")
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], _SPANS)
+                    data = [m for name, m in found.items() if MEMBER.fullmatch(name)]
+                    if not data:
+                        raise ValueError(f"{archive} has no member archive/*.warc.gz")
+                    for member in data:
+                        index = found.get(INDEX) if member.name == DATA else None
+                        if any(m.method != STORED for m in (member, index) if m):
+                            raise ValueError(f"members of {archive} are compressed")
+                        yield _spans_of(file, archive, member, index, span_bytes)
 
     return archives.select("archive").mapInArrow(spans, "archive string, start long, length long")
 
 
+def _spans_of(
+    file: pa.NativeFile, archive: str, member: Member, index: Member | None, span_bytes: int
+) -> pa.RecordBatch:
+    base = data_start(file, member)
+    if index:
+        lines = _index_lines(file, data_start(file, index), index.size)
+        places = (tuple(map(int, line.split()[-2:])) for line in lines)
+    else:
+        places = _scanned(file, base, member.size)
+    rows, start, end = [], None, 0
+    for place, length in places:
+        if start is not None and (place != end or place + length - start > span_bytes):
+            rows.append((archive, base + start, end - start))
+            start = None
+        start = place if start is None else start
+        end = place + length
+    if start is not None:
+        rows.append((archive, base + start, end - start))
+    names = ("archive", "start", "length")
+    return pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], _SPANS)
+
+
 _SPANS = pa.schema([("archive", pa.string()), ("start", pa.int64()), ("length", pa.int64())])
 
 
 def records_in(archive: str, start: int, length: int) -> Iterator[dict]:
     """The records of one range of a package."""
     with open_ranges(archive) as file:
-        held = read_range(file, start, length)
-    while held:
-        unpacker = zlib.decompressobj(31)
-        data = unpacker.decompress(held) + unpacker.flush()
-        if not unpacker.eof:
-            raise ValueError(f"a record of {archive} is cut off")
-        yield parsed_record(data) | {"archive": archive, "offset": start}
-        start += len(held) - len(unpacker.unused_data)
-        held = unpacker.unused_data
+        held = memoryview(read_range(file, start, length))
+    at = 0
+    while at < length:
+        begin, unpacker, parts = at, zlib.decompressobj(31), []
+        while not unpacker.eof:
+            # In pieces, so that what follows a record is not copied with each one.
+            if at == length:
+                raise ValueError(f"a record of {archive} is cut off")
+            piece = held[at : at + PIECE]
+            parts.append(unpacker.decompress(piece))
+            at += len(piece) - len(unpacker.unused_data)
+        yield parsed_record(b"".join(parts)) | {"archive": archive, "offset": start + begin}
 
 
 def read_archives(archives: DataFrame, payloads: bool = True, span_bytes: int = SPAN_BYTES) -> DataFrame:

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import zipfile
 
+import numpy as np
 import pytest
 
 from opsmetrics.llm.queries import op4_zip_warc
@@ -96,3 +97,37 @@ def test_without_index(spark, tmp_path):
     archives = spark.createDataFrame([(str(tmp_path / "plain.zip"),)], "archive string")
     rows = read_archives(archives, span_bytes=500).collect()
     assert sorted((r.page_id, r.payload_bytes) for r in rows) == [(i, i) for i in range(50)]
+
+
+def test_members_of_any_name(spark, tmp_path):
+    """Two members that the library did not write, beside one that it did, and a
+    package that holds none."""
+    parts = [
+        b"".join(record_bytes(i, None, b"p" * i, None, False) for i in range(10 * n, 10 * n + 10))
+        for n in range(3)
+    ]
+    own = [record_bytes(i, None, b"p" * i, None, False) for i in range(20, 30)]
+    places = np.concatenate([[0], np.cumsum([len(r) for r in own])]).tolist()
+    index = "".join(f"{20 + k} {places[k]} {len(r)}\n" for k, r in enumerate(own))
+    in_zip(str(tmp_path / "a.zip"), [
+        ("archive/one.warc.gz", parts[0]), ("datapackage.json", b"{}"),
+        ("archive/sub/two.warc.gz", parts[1]), (DATA, parts[2]), (INDEX, index),
+        ("indexes/other.cdx.gz", b"not read"),
+    ])
+    archives = spark.createDataFrame([(str(tmp_path / "a.zip"),)], "archive string")
+    rows = read_archives(archives, span_bytes=300).collect()
+    assert sorted((r.page_id, r.payload_bytes) for r in rows) == [(i, i) for i in range(30)]
+    in_zip(str(tmp_path / "none.zip"), [("data.warc.gz", parts[0])])
+    none = spark.createDataFrame([(str(tmp_path / "none.zip"),)], "archive string")
+    with pytest.raises(Exception, match="no member"):
+        read_archives(none).collect()
+
+
+def test_long_records_in_one_range(tmp_path):
+    payloads = [bytes([i]) * 50_000 + np.random.default_rng(i).bytes(60_000) for i in range(5)]
+    data = b"".join(record_bytes(i, "u", p, None, False) for i, p in enumerate(payloads))
+    in_zip(str(tmp_path / "long.zip"), [(DATA, data)])
+    with open_ranges(str(tmp_path / "long.zip")) as file:
+        start = data_start(file, next(members(file)))
+    found = list(records_in(str(tmp_path / "long.zip"), start, len(data)))
+    assert [bytes(r["payload"]) for r in found] == payloads
