@@ -26,8 +26,8 @@ STEP = 1.0
 RATE = 6.0
 SCARCER = 0.9
 # Texts are encoded together up to so many bytes and rows.
-BATCH_BYTES = 12 << 20
-BATCH_DOCUMENTS = 3000
+BATCH_BYTES = 6 << 20
+BATCH_DOCUMENTS = 1500
 # Lengths tried first to fill what the program leaves.
 FILLERS = 96
 # Pieces of one length are numbered in so many parts.
@@ -35,9 +35,9 @@ PARTS = 64
 # Words whose ids a worker keeps, later new ones are encoded each time; up to how many
 # of them it can take apart further forms by; and up to how many it also keeps those
 # with capitals or a mark for that.
-SEEN_WORDS = 1_500_000
-CACHED_WORDS = 400_000
-CACHED_FORMS = 150_000
+SEEN_WORDS = 1_000_000
+CACHED_WORDS = 250_000
+CACHED_FORMS = 100_000
 
 Plan = list[tuple[dict[int, int], int]]
 
