@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from opsmetrics.llm.common import let, text_or_empty
 
 # The kinds of span in their order, each a pattern with its value
 # as the last group. The first three are reported wherever they stand, the
-# others only within a linked scope.
+# others only beside their complement.
 _SET_TO = "[\"']?\\x20*[:=]\\x20*[\"']?"
 KINDS = (
     (
@@ -41,26 +41,27 @@ STRONG = 3
 ACCESS, IDENTIFIER = 1, 3
 ASSIGN, WEAK_SECRET = 0, 4
 
-# Parts are in one scope if each starts at most this far after the one before.
+# Parts belong together if they start at most this far from each other.
 SCOPE = 200
+# Further from any part than that.
+_FAR = -(1 << 40)
 _CHUNK = 256
 
 
-def running_sums(values: Column) -> Column:
-    """The sum before each element of an array, in chunks: appending to one long
-    array would copy it for every element."""
+def running(values: Column, zero: int, combine: Callable[[Column, Column], Column]) -> Column:
+    """All elements before each element of an array, combined, from `zero` on; in
+    chunks, since appending to one long array would copy it for every element."""
+    start = F.lit(zero).cast("bigint")
 
     def append(state: Column, value: Column) -> Column:
         return F.struct(
-            F.concat(state["sums"], F.array(state["total"])).alias("sums"),
-            (state["total"] + value).alias("total"),
+            F.concat(state["before"], F.array(state["all"])).alias("before"),
+            combine(state["all"], value).alias("all"),
         )
 
-    def sums(part: Column, start: Column) -> Column:
-        empty = F.struct(
-            F.array().cast("array<bigint>").alias("sums"), start.cast("bigint").alias("total")
-        )
-        return F.aggregate(part, empty, append, lambda s: s["sums"])
+    def steps(part: Column, first: Column) -> Column:
+        empty = F.struct(F.array().cast("array<bigint>").alias("before"), first.alias("all"))
+        return F.aggregate(part, empty, append, lambda s: s["before"])
 
     def chunked(bound: Column) -> Column:
         last = F.floor((F.size(bound) - 1) / _CHUNK).cast("int")
@@ -69,10 +70,8 @@ def running_sums(values: Column) -> Column:
         )
 
     def joined(chunks: Column) -> Column:
-        totals = F.transform(
-            chunks, lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda s, v: s + v)
-        )
-        return F.flatten(F.zip_with(chunks, sums(totals, F.lit(0)), sums))
+        totals = F.transform(chunks, lambda c: F.aggregate(c, start, combine))
+        return F.flatten(F.zip_with(chunks, steps(totals, start), steps))
 
     return let(
         F.transform(values, lambda v: v.cast("bigint")),
@@ -82,6 +81,11 @@ def running_sums(values: Column) -> Column:
     )
 
 
+def running_sums(values: Column) -> Column:
+    """The sum before each element of an array."""
+    return running(values, 0, lambda a, b: a + b)
+
+
 def spans_of(text: Column, kind: int) -> Column:
     """All matches of a kind, leftmost first and non-overlapping, as (start, kind,
     end) in code points; matches with a short value are passed over.
@@ -118,67 +122,52 @@ def spans_of(text: Column, kind: int) -> Column:
     return F.when(text.rlike(pattern), found).otherwise(none)
 
 
-def _linked(parts: Column) -> Column:
-    """Drop weak parts whose scope lacks an identifier or a secret. `parts` is
-    sorted and bound."""
-    flags = lambda *kinds: F.transform(
-        parts, lambda p: p["kind"].isin(*kinds).cast("int")
+def _near(parts: Column, *kinds: int) -> Column:
+    """Whether another part of `kinds` starts at most SCOPE from each part.
+
+    `parts` is sorted and bound, so the last start before a part and the first
+    behind it, from one sweep each way, decide.
+    """
+    place = lambda sign: F.transform(
+        parts, lambda p: F.when(p["kind"].isin(*kinds), sign * p["start"]).otherwise(F.lit(_FAR))
     )
-    opens = F.transform(
-        parts,
-        lambda p, i: F.when(
-            (i > 0) & (p["start"] - F.get(parts, i - 1)["start"] <= SCOPE), F.lit(0)
-        ).otherwise(F.lit(1)),
+    latest = lambda a, b: F.greatest(a, b)
+    before = running(place(1), _FAR, latest)
+    behind = F.reverse(running(F.reverse(place(-1)), _FAR, latest))
+    gaps = F.zip_with(before, behind, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    return F.zip_with(
+        parts, gaps, lambda p, g: (p["start"] - g["a"] <= SCOPE) | (-g["b"] - p["start"] <= SCOPE)
     )
 
-    def judged(state: Column) -> Column:
-        first = F.transform(
-            F.filter(
-                F.transform(state["opens"], lambda o, i: F.when(o == 1, i)), lambda i: i.isNotNull()
-            ),
-            lambda i: i,
-        )
 
-        def kept(scopes: Column) -> Column:
-            def count(sums: Column, j: Column) -> Column:
-                upto = F.coalesce(F.get(sums, F.get(scopes, j + 1)), F.element_at(sums, -1))
-                return upto - F.get(sums, F.get(scopes, j))
-
-            linked = F.transform(
-                scopes,
-                lambda _, j: (count(state["identifiers"], j) > 0) & (count(state["secrets"], j) > 0),
-            )
-            return let(
-                linked,
-                lambda held: F.filter(
-                    parts,
-                    lambda p, i: (p["kind"] < STRONG)
-                    | F.get(held, (F.get(state["scope"], i) + F.get(state["opens"], i) - 1).cast("int")),
-                ),
-            )
-
-        return let(first, kept)
-
-    # One more element, so that the last running sum is the sum of all.
-    with_end = lambda a: F.concat(a, F.array(F.lit(0)))
+def _linked(parts: Column) -> Column:
+    """Drop weak parts without their complement. `parts` is sorted and bound."""
+    sides = F.struct(
+        _near(parts, ACCESS, IDENTIFIER).alias("identifier"),
+        _near(parts, ASSIGN, WEAK_SECRET).alias("secret"),
+    )
     return let(
-        F.struct(
-            opens.alias("opens"),
-            running_sums(opens).alias("scope"),
-            running_sums(with_end(flags(ACCESS, IDENTIFIER))).alias("identifiers"),
-            running_sums(with_end(flags(ASSIGN, WEAK_SECRET))).alias("secrets"),
+        sides,
+        lambda near: F.filter(
+            parts,
+            lambda p, i: (p["kind"] < STRONG)
+            | (
+                ((p["kind"] == IDENTIFIER) | F.get(near["identifier"], i))
+                & ((p["kind"] == WEAK_SECRET) | F.get(near["secret"], i))
+            ),
         ),
-        judged,
     )
 
 
 def secret_spans(text: Column) -> Column:
     """All spans of a text by start, then kind: array of (start, kind, end).
 
-    Access identifiers, secrets and endpoints are joined by place within the
-    document: parts that start within SCOPE characters of each other form a
-    scope. Strong ones are always reported; weak ones if their scope holds both
-    an identifier and a secret. Everything is computed within the row.
+    Access identifiers, secrets and endpoints are joined by intervals within the
+    document: the scope of a part reaches SCOPE characters from its start either
+    way. Strong ones are always reported; a weak identifier if its scope holds
+    the start of a secret, a weak secret if that of an identifier, an endpoint if
+    those of both. Scopes are not chained. Everything is computed within the row,
+    in time that grows with the number of parts.
     """
     parts = F.sort_array(F.concat(*[spans_of(text, kind) for kind in range(len(KINDS))]))
     return let(
@@ -232,7 +221,11 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 
 def secret_report(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Counts and digests of the spans per document, without the texts."""
+    """Counts and digests of the spans per document, without the texts.
+
+    A missing or empty text has zeros, the digest of nothing and ''; repeated
+    rows are scanned each; only the columns `keep` of `docs` are passed on.
+    """
     scanned = docs.select(*keep, F.struct(secret_spans(text_or_empty()).alias("all")).alias("_s"))
 
     def count(kind: int) -> Column:
