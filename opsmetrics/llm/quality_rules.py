@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,9 +28,10 @@ FEATURES = ("x_length", "x_symbols", "x_upper", "x_lines", "x_repeats")
 # Least standard deviation of each statistic: documents that agree in it
 # entirely would else make every other document an outlier.
 FLOORS = (0.15, 0.15, 0.08, 0.1, 0.1)
-# Share of a group that the determinant is minimised over, and number of steps.
+# Share of a group that the determinant is minimised over. Steps go on while they
+# lower the logarithm of a determinant by so much, which the floors bound below.
 CORE = 0.75
-STEPS = 4
+LEAST_FALL = 0.01
 # Variance of the core against that of all, for normal data in five dimensions.
 CORE_FACTOR = 1.43
 # Quantiles of chi-square with five degrees of freedom: 0.975, and 1 - 10^-10.
@@ -140,8 +142,9 @@ def _groups(rows: DataFrame, least: int) -> DataFrame:
     )
 
 
-def _medians(rows: DataFrame) -> DataFrame:
-    """Each group's median per statistic, from counts of values of 1/64 width."""
+def _quartiles(rows: DataFrame) -> DataFrame:
+    """Each group's median `m` and distance of the outer quartiles `r` per
+    statistic, from counts of values of 1/64 width."""
     step = UNIT // 64
     long = rows.select(
         "group",
@@ -158,40 +161,56 @@ def _medians(rows: DataFrame) -> DataFrame:
     key = Window.partitionBy("group", "k")
     upto = key.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     at = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(key))
-    half = at.filter(2 * F.col("upto") >= F.col("all"))
-    return half.groupBy("group").agg(
-        *[
-            (F.min(F.when(F.col("k") == i, F.col("bin"))) * step + step / 2).alias(f"m{i}")
-            for i in range(len(FEATURES))
-        ]
+
+    def quantile(i: int, quarters: int) -> Column:
+        reached = (F.col("k") == i) & (4 * F.col("upto") >= quarters * F.col("all"))
+        return F.min(F.when(reached, F.col("bin"))) * step
+
+    return at.groupBy("group").agg(
+        *[(quantile(i, 2) + step / 2).alias(f"m{i}") for i in range(len(FEATURES))],
+        *[(quantile(i, 3) - quantile(i, 1)).alias(f"r{i}") for i in range(len(FEATURES))],
     )
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """The medians with the least deviations, as a first estimate."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """Three first estimates per group: the medians with the least deviations, the
+    medians with those of the quartiles, and the moments of all rows."""
     p = range(len(FEATURES))
-    return _medians(rows).select(
-        "*", *[F.lit(FLOORS[i] * UNIT if i == j else 0.0).alias(f"l{i}{j}") for i in p for j in range(i + 1)]
-    )
+    quartiles = staged(_quartiles(rows), "quality-quartiles")
+
+    def around_medians(start: int, deviations: Sequence[Column]) -> DataFrame:
+        return quartiles.select(
+            "group", F.lit(start).alias("start"),
+            *[F.col(f"m{i}").cast("double").alias(f"m{i}") for i in p],
+            *[
+                (deviations[i] if i == j else F.lit(0.0)).cast("double").alias(f"l{i}{j}")
+                for i in p for j in range(i + 1)
+            ],
+        )
+
+    least = [F.lit(FLOORS[i] * UNIT) for i in p]
+    # Quartiles of normal data are 1.35 deviations apart.
+    spread = [F.greatest(least[i], F.col(f"r{i}") / 1.35) for i in p]
+    everything = _cholesky(_moments(rows.withColumn("start", F.lit(2)), ["group", "start"]), 1.0)
+    return around_medians(0, least).unionByName(around_medians(1, spread)).unionByName(everything)
 
 
-def _moments(rows: DataFrame) -> DataFrame:
+def _moments(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Mean and covariance of each group from whole-number sums."""
     p = range(len(FEATURES))
-    sums = rows.groupBy("group").agg(
+    sums = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(c).alias(f"s{i}") for i, c in enumerate(FEATURES)],
         *[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"q{i}{j}") for i in p for j in range(i + 1)],
     )
-    means = sums.select(
-        "group",
+    return sums.select(
+        *keys,
         *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in p],
         *[
             (F.col(f"q{i}{j}") / F.col("n") - F.col(f"s{i}") / F.col("n") * (F.col(f"s{j}") / F.col("n"))).alias(f"c{i}{j}")
             for i in p for j in range(i + 1)
         ],
     )
-    return means
 
 
 def _cholesky(moments: DataFrame, factor: float) -> DataFrame:
@@ -211,9 +230,10 @@ def _cholesky(moments: DataFrame, factor: float) -> DataFrame:
     return out.drop(*[f"c{i}{j}" for i in p for j in range(i + 1)])
 
 
-def _distances(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Squared Mahalanobis distance `d2` of each row, by forward substitution."""
-    out = attach(rows, estimates, ["group"])
+def _distances(rows: DataFrame, estimates: DataFrame, how: str = "left") -> DataFrame:
+    """Squared Mahalanobis distance `d2` of each row, by forward substitution;
+    with `start` in `estimates`, one row per estimate of the group."""
+    out = attach(rows, estimates, ["group"], how)
     for i, c in enumerate(FEATURES):
         value = F.col(c) - F.col(f"m{i}")
         for k in range(i):
@@ -227,34 +247,61 @@ def _distances(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def _core(rows: DataFrame) -> DataFrame:
-    """The CORE share of each group with the least distances, to a bin's width."""
+    """The CORE share of each group and start with the least distances, to a
+    bin's width."""
+    keys = ["group", "start"]
     binned = rows.withColumn(
         "bin", F.floor(F.log(F.greatest(F.col("d2"), F.lit(1e-6))) * BINS_PER_E)
     )
-    counts = binned.groupBy("group", "bin").agg(F.count(F.lit(1)).alias("n"))
-    key = Window.partitionBy("group")
+    counts = binned.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
+    key = Window.partitionBy(*keys)
     upto = key.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     at = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(key))
-    edges = at.filter(F.col("upto") >= CORE * F.col("all")).groupBy("group").agg(F.min("bin").alias("edge"))
-    return attach(binned, staged(edges, "quality-edges"), ["group"]).filter(F.col("bin") <= F.col("edge"))
+    edges = at.filter(F.col("upto") >= CORE * F.col("all")).groupBy(*keys).agg(F.min("bin").alias("edge"))
+    return attach(binned, staged(edges, "quality-edges"), keys).filter(F.col("bin") <= F.col("edge"))
+
+
+def core_estimates(rows: DataFrame) -> DataFrame:
+    """Centre `m`, triangle `l` and logarithm of the determinant `log_det` of the
+    core of each `group` that has the least determinant of all starts.
+
+    Each step takes the CORE share nearest to the estimate, and its mean and
+    covariance. It is repeated for the groups and starts whose determinant fell;
+    those whose did not are settled at the estimate before.
+    """
+    p = range(len(FEATURES))
+    log_det = sum((2 * F.log(f"l{i}{i}") for i in p), F.lit(0.0))
+    active = staged(_starts(rows).withColumn("log_det", F.lit(float("inf"))), "quality-starts")
+    settled = []
+    while not active.isEmpty():
+        core = _core(_distances(rows, active.drop("log_det"), "inner"))
+        stepped = _cholesky(_moments(core, ["group", "start"]), CORE_FACTOR)
+        before = active.select("group", "start", F.struct(*active.columns).alias("before"))
+        both = attach(stepped.withColumn("log_det", log_det), before, ["group", "start"])
+        falls = F.col("log_det") < F.col("before.log_det") - LEAST_FALL
+        compared = staged(both.withColumn("falls", falls), "quality-step")
+        settled.append(compared.filter("NOT falls").select("before.*"))
+        active = compared.filter("falls").drop("before", "falls")
+    if not settled:
+        return active.drop("start")
+    found = reduce(DataFrame.unionByName, settled)
+    values = [c for c in found.columns if c != "group"]
+    ordered = F.struct("log_det", *[c for c in values if c != "log_det"])
+    least = found.groupBy("group").agg(F.min(ordered).alias("least"))
+    return staged(least.select("group", "least.*").drop("start"), "quality-cores")
 
 
 def robust_estimates(rows: DataFrame) -> DataFrame:
     """Centre and triangle of the covariance per `group`, by minimum covariance
-    determinant.
+    determinant (see `core_estimates`), and a last step over all rows within the
+    usual distance.
 
-    From the medians on, each step takes the CORE share nearest to the estimate
-    and its mean and covariance, which never raises the determinant. A last
-    step takes all rows within the usual distance. Each pass reads the
-    statistics only and sums whole numbers in the map tasks, so a hot group
-    costs no more than any other.
+    Each pass reads the statistics only and sums whole numbers in the map tasks,
+    so a hot group costs no more than any other.
     """
-    estimates = staged(_start(rows), "quality-start")
-    for _ in range(STEPS):
-        core = _core(_distances(rows, estimates))
-        estimates = staged(_cholesky(_moments(core), CORE_FACTOR), "quality-core")
+    estimates = core_estimates(rows).drop("log_det")
     near = _distances(rows, estimates).filter(F.col("d2") <= CHI2_CORE)
-    refined = staged(_cholesky(_moments(near), 1.0), "quality-near")
+    refined = staged(_cholesky(_moments(near, ["group"]), 1.0), "quality-near")
     missing = estimates.join(refined, "group", "left_anti")
     return staged(refined.unionByName(missing), "quality-estimates")
 

@@ -1,6 +1,19 @@
 from collections import Counter
+from itertools import combinations
 
-from opsmetrics.llm.quality_rules import judge_documents, quality_report
+import numpy as np
+import pytest
+
+from opsmetrics.llm.quality_rules import (
+    CORE_FACTOR,
+    FEATURES,
+    FLOORS,
+    UNIT,
+    core_estimates,
+    judge_documents,
+    quality_report,
+    robust_estimates,
+)
 from opsmetrics.llm.queries import op7_quality_outliers
 from tests.llm.conftest import SF
 from tests.llm.rows import CLASHING, awkward, clashing, frame, plain_words
@@ -57,3 +70,45 @@ def test_empty_table_and_other_columns(spark):
     wide = judge_documents(clashing(frame(spark)))
     assert set(CLASHING) <= set(wide.columns)
     assert wide.filter("size <> 'theirs'").isEmpty() and wide.count() == 17
+
+
+def log_determinant(values):
+    floors = np.diag((np.array(FLOORS) * UNIT) ** 2)
+    covariance = np.cov(values.T, bias=True) * CORE_FACTOR + floors
+    return np.linalg.slogdet(covariance)[1]
+
+
+def statistics(spark, groups):
+    rows = [(name, *map(int, row)) for name, values in groups.items() for row in values]
+    types = ", ".join(f"{c} bigint" for c in FEATURES)
+    return spark.createDataFrame(rows, f"group string, {types}").repartition(4)
+
+
+def test_least_determinant_equals_all_subsets(spark):
+    draw = np.random.default_rng(3)
+    groups = {}
+    for g in range(30):
+        mixed = draw.normal(size=(10, 5)) @ draw.normal(size=(5, 5)) * 200
+        # Two outliers, on one side or on both.
+        mixed[:2] += draw.normal(size=(1 + g % 2, 5)) * 3000
+        groups[f"g{g}"] = np.round(mixed + 2000)
+    found = {r.group: r.log_det for r in core_estimates(statistics(spark, groups)).collect()}
+    best = {
+        name: min(log_determinant(values[list(c)]) for c in combinations(range(10), 8))
+        for name, values in groups.items()
+    }
+    assert found == {name: pytest.approx(value, abs=1e-6) for name, value in best.items()}
+
+
+def test_estimates_of_small_and_equal_groups(spark):
+    same = np.full((60, 5), 700)
+    groups = {"one": same[:1], "same": same, "two": np.array([[0] * 5, [900] * 5])}
+    rows = statistics(spark, groups)
+    found = {r.group: r for r in robust_estimates(rows).collect()}
+    assert set(found) == set(groups)
+    for name in ("one", "same"):
+        assert [found[name][f"m{i}"] for i in range(5)] == [700] * 5
+        assert [found[name][f"l{i}{i}"] for i in range(5)] == pytest.approx(
+            [f * UNIT for f in FLOORS]
+        )
+    assert core_estimates(rows.limit(0)).count() == 0
