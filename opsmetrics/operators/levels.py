@@ -38,6 +38,79 @@ def classify_levels(
     )
 
 
+def classify_by_rules(
+    df: DataFrame,
+    rules: DataFrame,
+    metric: str,
+    value: str,
+    at: str,
+    name: str = "colour",
+    default: str | None = "white",
+    bin_days: int = 30,
+) -> DataFrame:
+    """Add the level of each value under the rules in force at its time.
+
+    `rules` has (metric, level, lower, valid_from, valid_to): of the rules of the
+    row's metric with valid_from <= time < valid_to whose lower bound the value
+    exceeds, that with the highest bound gives the level; of equal bounds, the
+    greatest level. A missing end of the validity is open. Rows without a metric,
+    a time, a number or a matching rule get `default`; rules without a metric, a
+    bound or a level match nothing. A column `name` of `df` is replaced.
+
+    Times are cut into bins of `bin_days`. The bins that each metric has rows in
+    are joined to its rules and give one row per metric and bin, which `df` is
+    joined to by equality: a hot metric is split or broadcast as in any such
+    join, and a row is held to the rules of its own bin only.
+    """
+    row, found = "_level_row", "_level_rules"
+    bin_of = lambda c: F.floor(F.unix_date(F.to_date(c)) / bin_days)
+    kept = [F.col(f"`{c}`") for c in df.columns if c != name]
+    rows = df.select(
+        F.struct(*kept).alias(row),
+        F.col(f"`{metric}`").alias("metric"),
+        missing_if_nan(F.col(f"`{value}`").cast("double")).alias("value"),
+        F.col(f"`{at}`").alias("at"),
+        bin_of(F.col(f"`{at}`")).alias("bin"),
+    )
+    asked = rows.select("metric", "bin").where("metric IS NOT NULL AND bin IS NOT NULL").distinct()
+    valid = rules.where("lower IS NOT NULL AND level IS NOT NULL").select(
+        F.col("metric").alias("of_metric"),
+        F.struct(
+            F.col("lower").cast("double").alias("lower"), "level", "valid_from", "valid_to"
+        ).alias("rule"),
+        bin_of(F.col("valid_from")).alias("first_bin"),
+        bin_of(F.col("valid_to")).alias("last_bin"),
+    )
+    in_bin = (
+        (F.col("metric") == F.col("of_metric"))
+        & F.coalesce(F.col("bin") >= F.col("first_bin"), F.lit(True))
+        & F.coalesce(F.col("bin") <= F.col("last_bin"), F.lit(True))
+    )
+    by_bin = (
+        asked.join(valid, in_bin)
+        .groupBy(F.col("metric").alias("of_metric"), F.col("bin").alias("of_bin"))
+        .agg(F.collect_list("rule").alias(found))
+    )
+
+    def exceeded(rule: Column) -> Column:
+        return (
+            (F.col("value") > rule["lower"])
+            & F.coalesce(F.col("at") >= rule["valid_from"], F.lit(True))
+            & F.coalesce(F.col("at") < rule["valid_to"], F.lit(True))
+        )
+
+    highest = F.array_max(
+        F.transform(F.filter(found, exceeded), lambda r: F.struct(r["lower"], r["level"]))
+    )
+    same_bin = (F.col("metric") == F.col("of_metric")) & (F.col("bin") == F.col("of_bin"))
+    # Two steps: beside columns named like those of `rows`, the lambdas would read these.
+    judged = rows.join(by_bin, same_bin, "left").select(row, highest["level"].alias("level"))
+    return judged.select(
+        *[F.col(row)[c].alias(c) for c in df.columns if c != name],
+        F.coalesce("level", F.lit(default)).alias(name),
+    )
+
+
 def classify_states(
     df: DataFrame,
     state: str,

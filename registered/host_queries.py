@@ -18,7 +18,7 @@ from opsmetrics.functions.numbers import (
 from opsmetrics.functions.times import day_text, minute_text, parse_day_first, pin_report_hour
 from opsmetrics.operators.history import latest_per_key, recent
 from opsmetrics.operators.hosts import assign_group
-from opsmetrics.operators.levels import classify_levels
+from opsmetrics.operators.levels import classify_by_rules, classify_levels
 from opsmetrics.operators.probes import parse_probe_dumps, with_unreachable
 from opsmetrics.plans.reports import host_metrics, host_report, snapshot_report
 from opsmetrics.schemas import MEASURES
@@ -315,6 +315,36 @@ FROM (
 """
 
 
+def dated_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order is a rule for its customer's orders of the year that follows:
+    thousands of rules, each with its own validity."""
+    orders = table(spark, sf_dir, "orders")
+    rules = orders.select(
+        F.col("o_custkey").alias("metric"),
+        F.col("o_orderpriority").alias("level"),
+        F.col("o_totalprice").alias("lower"),
+        F.col("o_orderdate").alias("valid_from"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate") + F.expr("INTERVAL 365 DAYS")).alias(
+            "valid_to"
+        ),
+    )
+    facts = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    levels = classify_by_rules(facts, rules, "o_custkey", "o_totalprice", "o_orderdate", "level")
+    return levels.select("o_orderkey", "o_custkey", "level")
+
+
+DATED_LEVELS_SQL = """
+SELECT f.o_orderkey, f.o_custkey,
+       coalesce((max(struct_pack(l := r.o_totalprice, n := r.o_orderpriority))
+                    FILTER (WHERE r.o_orderkey IS NOT NULL)).n, 'white') AS level
+FROM orders f LEFT JOIN orders r
+  ON r.o_custkey = f.o_custkey AND f.o_totalprice > r.o_totalprice
+ AND f.o_orderdate >= r.o_orderdate
+ AND (r.o_orderstatus = 'P' OR f.o_orderdate < r.o_orderdate + INTERVAL 365 DAY)
+GROUP BY f.o_orderkey, f.o_custkey
+"""
+
+
 # --- reports end to end ----------------------------------------------------
 
 
@@ -653,6 +683,7 @@ QUERIES = {
     "ordered_groups": (ordered_groups, ORDERED_GROUPS_SQL),
     "threshold_levels": (threshold_levels, THRESHOLD_LEVELS_SQL),
     "disk_levels": (disk_levels, DISK_LEVELS_SQL),
+    "dated_levels": (dated_levels, DATED_LEVELS_SQL),
     "host_state_report": (host_state_report, HOST_STATE_REPORT_SQL),
     "latest_sheets": (latest_sheets, LATEST_SHEETS_SQL),
     "workbook_sheets": (workbook_sheets, WORKBOOK_SHEETS_SQL),

@@ -1,4 +1,7 @@
+from datetime import datetime
+
 import pytest
+from pyspark.sql import functions as F
 
 from opsmetrics.fixed_values import (
     DISK_LEVELS,
@@ -8,7 +11,7 @@ from opsmetrics.fixed_values import (
     STATE_PALETTE,
 )
 from opsmetrics.operators.hosts import assign_group, display_names, host_dimension
-from opsmetrics.operators.levels import classify_levels, classify_states
+from opsmetrics.operators.levels import classify_by_rules, classify_levels, classify_states
 from tests.rows import frame, values
 
 HOSTS = ["host-09 repo", "host-02 data", "host-05 repo data", "host-01"]
@@ -107,3 +110,60 @@ def test_state_colours(spark, as_table):
         "GOOD": "#4CAF50", "CONCERNING": "#FF9800", "BAD": "#F44336", "N/A": "#BDBDBD",
         "DISABLED": "white", "good": "white", None: "white",
     }
+
+
+RULES = "metric string, level string, lower double, valid_from timestamp, valid_to timestamp"
+
+
+def day(text):
+    return datetime.fromisoformat(text) if text else None
+
+
+def test_dated_rules(spark):
+    rules = [
+        ("cpu", "yellow", 70.0, None, day("2026-03-01")),
+        ("cpu", "orange", 60.0, day("2026-03-01"), None),
+        ("cpu", "red", 90.0, day("2026-01-15"), day("2026-06-01 12:00")),
+        ("cpu", "amber", 60.0, day("2026-03-01"), None),
+        ("disk", "red", 1.0, None, None),
+        (None, "black", 0.0, None, None),
+        ("cpu", None, 0.0, None, None),
+        ("cpu", "black", None, None, None),
+        ("cpu", "black", 0.0, day("2026-03-01"), day("2026-03-01")),
+    ]
+    rows = [
+        (1, "cpu", 95.0, day("2026-01-14 23:59"), "yellow"),
+        (2, "cpu", 95.0, day("2026-01-15"), "red"),
+        (3, "cpu", 90.0, day("2026-02-28 23:59"), "yellow"),
+        (4, "cpu", 90.0, day("2026-03-01"), "orange"),
+        (5, "cpu", 95.0, day("2026-06-01 11:59"), "red"),
+        (6, "cpu", 95.0, day("2026-06-01 12:00"), "orange"),
+        (7, "cpu", 60.0, day("2026-07-01"), "white"),
+        (8, "disk", 2.0, day("1969-01-01"), "red"),
+        (9, "other", 2.0, day("2026-01-01"), "white"),
+        (10, None, 2.0, day("2026-01-01"), "white"),
+        (11, "cpu", None, day("2026-01-01"), "white"),
+        (12, "cpu", float("nan"), day("2026-01-01"), "white"),
+        (13, "disk", 2.0, None, "white"),
+        (13, "disk", 2.0, None, "white"),
+    ]
+    table = frame(spark, RULES, rules)
+    # Columns named like those of the rules and of the result.
+    facts = frame(spark, "id int, lower string, value double, at timestamp, colour string", rows)
+    wide = facts.withColumns({"bin": F.lit("b"), "metric": F.lit("m"), "level": F.lit("l")})
+    for bins in (1, 30, 400):
+        got = classify_by_rules(wide, table, "lower", "value", "at", bin_days=bins)
+        assert got.columns == ["id", "lower", "value", "at", "bin", "metric", "level", "colour"]
+        assert sorted((r.id, r.colour) for r in got.collect()) == [(r[0], r[4]) for r in rows]
+        assert got.filter("bin = 'b' AND metric = 'm' AND level = 'l'").count() == len(rows)
+    assert classify_by_rules(wide.limit(0), table, "lower", "value", "at").count() == 0
+    bare = classify_by_rules(wide, table.limit(0), "lower", "value", "at", default=None)
+    assert bare.filter("colour IS NULL").count() == len(rows)
+
+
+def test_dated_rules_join_by_equality(spark):
+    table = frame(spark, RULES, [("cpu", "red", 1.0, None, None)])
+    facts = frame(spark, "metric string, value double, at timestamp", [("cpu", 2.0, day("2026-01-01"))])
+    got = classify_by_rules(facts, table, "metric", "value", "at")
+    plan = got._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
