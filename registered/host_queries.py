@@ -19,6 +19,7 @@ from opsmetrics.functions.times import day_text, minute_text, parse_day_first, p
 from opsmetrics.operators.history import latest_per_key, recent
 from opsmetrics.operators.hosts import assign_group
 from opsmetrics.operators.levels import classify_by_rules, classify_levels
+from opsmetrics.operators.patterns import assign_groups
 from opsmetrics.operators.probes import parse_probe_dumps, with_unreachable
 from opsmetrics.plans.reports import host_metrics, host_report, snapshot_report
 from opsmetrics.schemas import MEASURES
@@ -286,6 +287,54 @@ JOIN (VALUES ('upper', 'URGENT|HIGH'), ('lower', 'HIGH|LOW')) AS patterns(group_
 """
 
 
+def pattern_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, named by day and priority, in groups by a table of patterns: one
+    pattern of four shapes for each part."""
+    month = F.format_string("%02d", F.col("p_partkey") % 12 + 1)
+    year = F.format_string("199%d", F.col("p_size") % 8)
+    day = F.format_string("%02d-%02d", F.col("p_partkey") % 12 + 1, F.col("p_size") % 28 + 1)
+    shape = F.col("p_partkey") % 4
+    patterns = table(spark, sf_dir, "part").select(
+        F.format_string("g%d", F.col("p_partkey") % 100).alias("group_name"),
+        F.when(shape == 0, F.concat(F.lit("^"), year, F.lit("-"), month, F.lit("-.*(URGENT|HIGH)$")))
+        .when(shape == 1, F.concat(day, F.lit(" [1-3]")))
+        .when(shape == 2, F.concat(day, F.lit(" 5|"), year, F.lit("-07-04")))
+        .otherwise(F.concat(
+            year, F.lit("-?"), month, F.lit("-[0-9]+ "), (F.col("p_partkey") % 5 + 1).cast("string")
+        ))
+        .alias("pattern"),
+    )
+    name = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" "), F.col("o_orderpriority"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", name.alias("order_name"))
+    return assign_groups(orders, "order_name", patterns)
+
+
+PATTERN_GROUPS_SQL = """
+WITH named AS (
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') || ' ' || o_orderpriority AS order_name
+    FROM orders
+), parts AS (
+    SELECT p_partkey, '199' || p_size % 8 AS year, printf('%02d', p_partkey % 12 + 1) AS month,
+           printf('%02d-%02d', p_partkey % 12 + 1, p_size % 28 + 1) AS day
+    FROM part
+), patterns AS (
+    SELECT DISTINCT 'g' || p_partkey % 100 AS group_name,
+           CASE p_partkey % 4
+               WHEN 0 THEN '^' || year || '-' || month || '-.*(URGENT|HIGH)$'
+               WHEN 1 THEN day || ' [1-3]'
+               WHEN 2 THEN day || ' 5|' || year || '-07-04'
+               ELSE year || '-?' || month || '-[0-9]+ ' || (p_partkey % 5 + 1)
+           END AS pattern
+    FROM parts
+), found AS (
+    SELECT DISTINCT order_name, group_name
+    FROM (SELECT DISTINCT order_name FROM named), patterns
+    WHERE regexp_matches(order_name, pattern)
+)
+SELECT o_orderkey, order_name, group_name FROM named JOIN found USING (order_name)
+"""
+
+
 def threshold_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_levels(used_percent_zero(spark, sf_dir), LEVELS)
 
@@ -681,6 +730,7 @@ QUERIES = {
     "latest_per_user": (latest_per_user, LATEST_PER_USER_SQL),
     "latest_value": (latest_value, LATEST_VALUE_SQL),
     "ordered_groups": (ordered_groups, ORDERED_GROUPS_SQL),
+    "pattern_groups": (pattern_groups, PATTERN_GROUPS_SQL),
     "threshold_levels": (threshold_levels, THRESHOLD_LEVELS_SQL),
     "disk_levels": (disk_levels, DISK_LEVELS_SQL),
     "dated_levels": (dated_levels, DATED_LEVELS_SQL),
