@@ -39,6 +39,19 @@ def _capture(line: Column, pattern: str) -> Column:
     )
 
 
+def line_captures(lines: Column, patterns: tuple[str, str]) -> Column:
+    """(used, remaining) of the lines that match a pattern, in their order. Each line
+    is matched once."""
+    used, remaining = patterns
+    captures = F.transform(
+        lines,
+        lambda line: F.struct(
+            _capture(line, used).alias("used"), _capture(line, remaining).alias("remaining")
+        ),
+    )
+    return F.filter(captures, lambda c: c["used"].isNotNull() | c["remaining"].isNotNull())
+
+
 def _has_digits(*counters: Column) -> Column:
     """All counters hold digits; false, not NULL, where one was never seen."""
     found = F.lit(True)
@@ -47,7 +60,7 @@ def _has_digits(*counters: Column) -> Column:
     return found
 
 
-def _byte_counts(df: DataFrame, *keep: str) -> DataFrame:
+def byte_counts(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(
         *keep,
         F.col("used").try_cast("decimal(38,0)").alias("used_bytes"),
@@ -63,15 +76,7 @@ def scan_report(
 ) -> DataFrame:
     """(report_id, used_bytes, remaining_bytes) of reports held as whole texts,
     one per row. Works within the row: no explode, no shuffle."""
-    used, remaining = patterns
-    # Each line is matched once; lines without a match go before the fold.
-    captures = F.transform(
-        split_lines(F.col(txt)),
-        lambda line: F.struct(
-            _capture(line, used).alias("used"), _capture(line, remaining).alias("remaining")
-        ),
-    )
-    hits = F.filter(captures, lambda c: c["used"].isNotNull() | c["remaining"].isNotNull())
+    hits = line_captures(split_lines(F.col(txt)), patterns)
     unseen = F.lit(None).cast("string")
     state = F.reduce(
         hits,
@@ -89,7 +94,7 @@ def scan_report(
     complete = F.filter(
         F.array(state), lambda seen: _has_digits(seen["used"], seen["remaining"])
     )
-    return _byte_counts(df.select(report_id, F.inline(complete)), report_id)
+    return byte_counts(df.select(report_id, F.inline(complete)), report_id)
 
 
 def scan_report_lines(
@@ -179,7 +184,7 @@ def scan_report_lines(
         .agg(F.min(F.struct("_piece", "_first")).alias("_least"))
         .select(report_id, "_least._first.*")
     )
-    return _byte_counts(complete, report_id)
+    return byte_counts(complete, report_id)
 
 
 def usage_tb(df: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from opsmetrics.operators.storage import (
     scan_report_lines,
     split_lines,
     usage_shares,
+    usage_tb,
 )
 from opsmetrics.plans.reports import (
     service_grid,
@@ -36,6 +37,7 @@ from opsmetrics.sources.files import (
 from opsmetrics.sources.tables import read_locks, read_status_history
 from opsmetrics.streaming.grid import keep_grid, read_grid
 from opsmetrics.streaming.ingest import collect_statuses
+from opsmetrics.streaming.reports import keep_reports, read_reports
 from registered.common import landing, last_instant, table
 
 # Event types as health states; the others stand for unlisted states.
@@ -510,8 +512,8 @@ FROM shares
 FILE_ORDERS = 2000
 
 
-def _land_reports(spark: SparkSession, sf_dir: str) -> str:
-    """Report files with one line per order and line ends of all kinds."""
+def _report_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(report, txt): reports with one line per order and line ends of all kinds."""
     amount = F.format_number(F.floor(F.col("o_totalprice") * 100) * 100003, 0)
     status, key = F.col("o_orderstatus"), F.col("o_orderkey")
     line = (
@@ -522,14 +524,18 @@ def _land_reports(spark: SparkSession, sf_dir: str) -> str:
     )
     ends = ["\n", "\r\n", "\x0b", "\u2028", "\x1c", "\r", "\x85"]
     end = F.element_at(F.array(*[F.lit(e) for e in ends]), (key % len(ends) + 1).cast("int"))
-    folder = landing(spark, "reports")
     lines = table(spark, sf_dir, "orders").select(
         F.floor(key / FILE_ORDERS).alias("report"),
         F.struct(key.alias("key"), F.concat(line, end).alias("line")).alias("line"),
     )
-    lines.groupBy("report").agg(
+    return lines.groupBy("report").agg(
         F.array_join(F.sort_array(F.collect_list("line"))["line"], "").alias("txt")
-    ).write.partitionBy("report").text(folder)
+    )
+
+
+def _land_reports(spark: SparkSession, sf_dir: str) -> str:
+    folder = landing(spark, "reports")
+    _report_texts(spark, sf_dir).write.partitionBy("report").text(folder)
     return folder
 
 
@@ -548,6 +554,35 @@ def storage_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_number(storage_report_lines(read_report_lines(spark, _land_reports(spark, sf_dir))))
 
 
+# Characters of a chunk of a growing report.
+CHUNK = 4096
+
+
+def grown_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same reports, landed in chunks: a half of them, then the others, which fill
+    the gaps; either half is folded into what is known of each report."""
+    landed, target, progress = (landing(spark, n) for n in ("chunks", "reports", "progress"))
+    texts = _report_texts(spark, sf_dir).withColumn("txt", F.explode(F.array("txt")))
+    starts = F.sequence(F.lit(0), F.char_length("txt") - 1, F.lit(CHUNK))
+    chunks = texts.select("report", "txt", F.explode(starts).alias("start")).select(
+        F.col("report").cast("string").alias("report_id"),
+        F.col("start").cast("bigint").alias("start"),
+        F.substring("txt", F.col("start") + 1, F.lit(CHUNK)).alias("txt"),
+        F.pmod(F.xxhash64("report", "start"), F.lit(2)).alias("half"),
+    )
+    chunks.write.partitionBy("half").parquet(f"{landed}-all")
+    kept = spark.read.parquet(f"{landed}-all")
+    schema = kept.drop("half").schema
+    for half in range(2):
+        kept.filter(F.col("half") == half).drop("half").write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(schema).parquet(landed)
+        keep_reports(
+            stream, target, progress, partitions=spark.sparkContext.defaultParallelism
+        ).awaitTermination()
+    report = usage_shares(usage_tb(read_reports(spark, target)))
+    return report.withColumn("report_id", F.col("report_id").cast("bigint"))
+
+
 STORAGE_FILES_SQL = f"""
 WITH lines AS (
     SELECT o_orderkey // {FILE_ORDERS} AS report_id, o_orderkey,
@@ -618,6 +653,7 @@ QUERIES = {
     "emptied_report": (emptied_report, EMPTIED_REPORT_SQL),
     "storage_files": (storage_files, STORAGE_FILES_SQL),
     "storage_file_lines": (storage_file_lines, STORAGE_FILES_SQL),
+    "grown_reports": (grown_reports, STORAGE_FILES_SQL),
     "collected_statuses": (collected_statuses, COLLECTED_STATUSES_SQL),
     "committed_statuses": (committed_statuses, COMMITTED_STATUSES_SQL),
     "kept_report": (kept_report, KEPT_REPORT_SQL),
