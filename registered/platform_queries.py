@@ -28,6 +28,13 @@ from opsmetrics.plans.reports import (
 from opsmetrics.schemas import SERVICE_SNAPSHOT
 from opsmetrics.sinks.commits import commit_status, drop_uncommitted, publish, write_attempt
 from opsmetrics.sinks.tables import append_status, write_report
+from opsmetrics.sources.documents import (
+    field_shapes,
+    list_items,
+    more_fields,
+    read_documents,
+    typed_fields,
+)
 from opsmetrics.sources.files import (
     flatten_services,
     read_report_lines,
@@ -640,6 +647,94 @@ FROM (
 )
 """
 
+# --- documents of changing shape --------------------------------------------
+
+
+def _changing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document per order, its lines as services: fields come, go and change their type
+    from line to line. The documents are landed, read and kept as a table."""
+    line = F.col("l_linenumber")
+    number = F.col("l_orderkey") * 10 + line
+    name = F.concat(F.lit("service "), F.col("l_partkey").cast("string"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.struct(
+            line,
+            F.when(line % 4 == 1, F.to_json(F.struct(
+                name.alias("displayName"), F.col("l_returnflag").alias("healthSummary")
+            )))
+            .when(line % 4 == 2, F.to_json(F.struct(
+                F.col("l_partkey").alias("displayName"), number.alias("load"),
+                F.col("l_shipdate").cast("date").cast("string").alias("seen"),
+            )))
+            .when(line % 4 == 3, F.to_json(F.struct(
+                name.alias("displayName"), F.lit("high").alias("load"),
+                F.struct(number.alias("id"), F.col("l_linestatus").alias("zone")).alias("host"),
+            )))
+            .otherwise(F.to_json(F.struct(
+                name.alias("displayName"), number.cast("string").alias("load"),
+                F.col("l_linestatus").alias("host"),
+            )))
+            .alias("text"),
+        ).alias("line"),
+    )
+    items = F.array_join(F.array_sort(F.collect_list("line"))["text"], ",")
+    texts = lines.groupBy("l_orderkey").agg(
+        F.concat(F.lit('{"version":2,"items":['), items, F.lit("]}")).alias("value")
+    )
+    folder, kept = landing(spark, "documents"), landing(spark, "kept")
+    texts.select("value").write.text(folder)
+    services = list_items(read_documents(spark, folder, one_per_line=True))
+    fields = {
+        "service_name": ("displayName", "string"), "health_status": ("healthSummary", "string"),
+        "load": ("load", "bigint"),
+    }
+    typed_fields(services, "item", fields).write.parquet(kept)
+    return spark.read.parquet(kept)
+
+
+def changing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The services, with fields that nobody knew of when they were read."""
+    asked = {"host": ("host", "string"), "seen": ("seen", "date"), "load_text": ("load", "string")}
+    kept = more_fields(_changing_documents(spark, sf_dir), asked)
+    inner = F.try_variant_get(F.element_at("other", "host"), "$.zone", "string")
+    return kept.select(
+        "service_name", "health_status", "load", "load_text", F.date_format("seen", "yyyy-MM-dd").alias("seen"),
+        F.coalesce(inner, "host").alias("zone"),
+    )
+
+
+CHANGING_DOCUMENTS_SQL = """
+SELECT CASE WHEN l_linenumber % 4 = 2 THEN '' ELSE 'service ' END || l_partkey AS service_name,
+       CASE WHEN l_linenumber % 4 = 1 THEN l_returnflag END AS health_status,
+       CASE WHEN l_linenumber % 4 IN (0, 2) THEN l_orderkey * 10 + l_linenumber END AS load,
+       CASE WHEN l_linenumber % 4 = 3 THEN 'high' END AS load_text,
+       CASE WHEN l_linenumber % 4 = 2 THEN strftime(l_shipdate, '%Y-%m-%d') END AS seen,
+       CASE WHEN l_linenumber % 4 IN (0, 3) THEN l_linestatus END AS zone
+FROM lineitem
+"""
+
+
+def document_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which fields were kept aside, and what they hold."""
+    return field_shapes(_changing_documents(spark, sf_dir))
+
+
+DOCUMENT_SHAPES_SQL = """
+SELECT field, type, count(*) AS rows
+FROM (
+    SELECT unnest(CASE l_linenumber % 4
+        WHEN 2 THEN [{'field': 'seen', 'type': 'STRING'}]
+        WHEN 3 THEN [{'field': 'load', 'type': 'STRING'},
+                     {'field': 'host', 'type': 'OBJECT<id: BIGINT, zone: STRING>'}]
+        WHEN 0 THEN [{'field': 'host', 'type': 'STRING'}]
+    END, recursive := true)
+    FROM lineitem
+)
+GROUP BY ALL
+"""
+
+
 QUERIES = {
     "status_grid_long": (status_grid_long, STATUS_GRID_LONG_SQL),
     "status_grid_once": (status_grid_once, STATUS_GRID_ONCE_SQL),
@@ -653,6 +748,8 @@ QUERIES = {
     "emptied_report": (emptied_report, EMPTIED_REPORT_SQL),
     "storage_files": (storage_files, STORAGE_FILES_SQL),
     "storage_file_lines": (storage_file_lines, STORAGE_FILES_SQL),
+    "changing_documents": (changing_documents, CHANGING_DOCUMENTS_SQL),
+    "document_shapes": (document_shapes, DOCUMENT_SHAPES_SQL),
     "grown_reports": (grown_reports, STORAGE_FILES_SQL),
     "collected_statuses": (collected_statuses, COLLECTED_STATUSES_SQL),
     "committed_statuses": (committed_statuses, COMMITTED_STATUSES_SQL),
