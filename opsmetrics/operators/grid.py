@@ -50,18 +50,44 @@ def status_grid(
     )
 
 
+def _most_days(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+
+
+def _first_days(df: DataFrame, ts: str, most: int) -> list[str]:
+    """Of the days that have rows `most` at most, ascending."""
+    days = df.select(F.to_date(ts).alias("_day")).distinct().filter(F.col("_day").isNotNull())
+    return sorted(r[0] for r in days.select(day_text(F.col("_day"))).limit(most).collect())
+
+
 def grid_dates(df: DataFrame, ts: str) -> list[str]:
     """The days that have rows, ascending: the columns of the wide grid.
 
     Reads the time column only. At most `spark.sql.pivotMaxValues` days, the
     bound Spark itself sets on pivot columns; beyond it this raises.
     """
-    bound = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    days = df.select(F.to_date(ts).alias("_day")).distinct().filter(F.col("_day").isNotNull())
-    found = [r[0] for r in days.select(day_text(F.col("_day"))).limit(bound + 1).collect()]
+    bound = _most_days(df)
+    found = _first_days(df, ts, bound + 1)
     if len(found) > bound:
         raise ValueError(f"the grid has more than {bound} days")
-    return sorted(found)
+    return found
+
+
+def grid_table(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    value: str,
+    on_duplicate: str = "latest",
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """`wide_grid` over all days. Of more days than `spark.sql.pivotMaxValues` it is the
+    same grid as the rows of `to_cells`, whose days are never columns: no state is lost,
+    and a history that grows does not fail its report."""
+    days = _first_days(df, ts, _most_days(df) + 1)
+    if len(days) <= _most_days(df):
+        return wide_grid(df, key, ts, value, days, on_duplicate, tiebreak)
+    return to_cells(status_grid(df, key, ts, value, on_duplicate, tiebreak), key, value)
 
 
 def wide_grid(

@@ -5,7 +5,13 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from opsmetrics.operators.grid import grid_dates, status_grid, to_cells, wide_grid
+from opsmetrics.operators.grid import (
+    grid_dates,
+    grid_table,
+    status_grid,
+    to_cells,
+    wide_grid,
+)
 from opsmetrics.operators.locks import active_locks, numbered_locks
 from opsmetrics.operators.numbering import number_rows
 from tests.rows import frame, values
@@ -138,6 +144,24 @@ def test_cells_of_more_days_than_a_wide_grid_holds(spark):
         spark.conf.unset("spark.sql.pivotMaxValues")
 
 
+@pytest.mark.parametrize("days, most, wide_table", [(3, 3, True), (4, 3, False), (0, 3, True)])
+def test_grid_table_of_any_number_of_days(spark, days, most, wide_table):
+    rows = [(f"s{n % 2}", NOW - n * DAY, "GOOD") for n in range(days)]
+    df = frame(spark, SCHEMA, rows)
+    spark.conf.set("spark.sql.pivotMaxValues", str(most))
+    try:
+        got = grid_table(df, "service_name", "timestamp", "health_status")
+        if wide_table:
+            assert got.columns == ["service_name", *grid_dates(df, "timestamp")]
+            assert got.count() == min(days, 2)
+        else:
+            cells = to_cells(grid(df), "service_name", "health_status")
+            assert got.columns == cells.columns
+            assert values(got, *got.columns) == values(cells, *cells.columns)
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
 def test_empty_grid(spark):
     df = frame(spark, SCHEMA, [])
     assert grid_dates(df, "timestamp") == []
