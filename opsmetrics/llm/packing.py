@@ -330,6 +330,39 @@ def packing_plan(counts: Mapping[int, int], capacity: int = CAPACITY, rounds: in
     return plan
 
 
+def least_sequences(counts: Mapping[int, int], capacity: int = CAPACITY, rounds: int = 50) -> float:
+    """A number of sequences that no packing goes below: the best dual bound of the
+    fractional program under multiplicative weights.
+
+    Prices of lengths, divided by what the dearest configuration costs, are a solution of
+    the dual program, and what all pieces cost then is a bound. Every round prices all
+    configurations by a knapsack, and the lengths of the dearest lose weight by the
+    share of them that it would cover. Prices start at the sizes, whose bound is that of
+    the room taken. For tests and reports: the plan does not depend on it.
+    """
+    need = np.zeros(capacity + 1)
+    for length, n in counts.items():
+        need[length] = n
+    if not need.any():
+        return 0.0
+    lengths = np.arange(capacity + 1)
+    covered, bound = np.zeros(capacity + 1), 0.0
+    for _ in range(rounds):
+        least = covered[need > 0].min()
+        price = np.where(need > 0, lengths * np.exp(RATE * (least - covered)), 0.0)
+        choice = knapsack(price, capacity)
+        room, dearest = capacity, {}
+        while room > 0:
+            if taken := int(choice[room]):
+                dearest[taken] = dearest.get(taken, 0) + 1
+            room -= taken or 1
+        bound = max(bound, float(need @ price / sum(price[l] * a for l, a in dearest.items())))
+        times = min(need[l] / a for l, a in dearest.items()) / 4
+        for l, a in dearest.items():
+            covered[l] += a * times / need[l]
+    return bound
+
+
 def _slots(plan: Plan, capacity: int) -> dict[str, np.ndarray]:
     """For each length, runs of its pieces and the places they go to: at most one
     row per configuration and length in it."""

@@ -10,7 +10,14 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from opsmetrics.llm.common import text_parts
-from opsmetrics.llm.packing import WholeTexts, WordIds, encoder, pack_documents, packing_plan
+from opsmetrics.llm.packing import (
+    WholeTexts,
+    WordIds,
+    encoder,
+    least_sequences,
+    pack_documents,
+    packing_plan,
+)
 from opsmetrics.llm.queries import op3_packed_sequences
 from tests.llm.conftest import SF
 from tests.llm.rows import awkward, clashing, frame
@@ -109,3 +116,54 @@ def test_plan_holds_every_length_once():
         assert dict(held) == counts
         sequences = sum(t for _, t in packing_plan(counts, capacity))
         assert sequences <= -(-int(lengths.sum()) // capacity) + 2
+
+
+def fewest(lengths, capacity):
+    """The least number of sequences, by trying every place of every piece."""
+    best = len(lengths)
+
+    def place(at, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(lengths):
+            best = len(rooms)
+            return
+        for x in {room: n for n, room in enumerate(rooms) if room >= lengths[at]}.values():
+            place(at + 1, [*rooms[:x], rooms[x] - lengths[at], *rooms[x + 1 :]])
+        place(at + 1, [*rooms, capacity - lengths[at]])
+
+    lengths = sorted(lengths, reverse=True)
+    place(0, [])
+    return best
+
+
+def test_no_packing_is_below_the_dual_bound():
+    random = np.random.default_rng(2)
+    for _ in range(60):
+        lengths = random.integers(1, 21, random.integers(1, 9)).tolist()
+        counts = {l: lengths.count(l) for l in lengths}
+        best = fewest(lengths, 20)
+        assert least_sequences(counts, 20) <= best + 1e-9
+        assert best <= sum(t for _, t in packing_plan(counts, 20)) <= best + 1
+    assert least_sequences({}, 20) == 0
+
+
+@pytest.mark.parametrize("counts, capacity, least", [
+    ({51: 1000}, 100, 1000),  # two never share a sequence, so nearly half of the room stays empty
+    ({60: 1000, 30: 100}, 100, 1000),
+    ({34: 3000}, 100, 1500),
+    ({50: 700, 25: 600}, 100, 500),
+])
+def test_plan_against_the_dual_bound(counts, capacity, least):
+    bound = least_sequences(counts, capacity)
+    assert 0.99 * least <= bound <= least + 1e-6
+    assert sum(t for _, t in packing_plan(counts, capacity)) <= np.ceil(bound) + 0.01 * least
+
+
+def test_plan_of_many_lengths_against_the_dual_bound():
+    random = np.random.default_rng(7)
+    lengths = np.minimum(random.lognormal(4.5, 1.0, 20_000).astype(int) + 1, 512)
+    counts = {int(l): int(c) for l, c in zip(*np.unique(lengths, return_counts=True))}
+    bound = least_sequences(counts, 512, 20)
+    assert np.ceil(bound - 1e-6) <= sum(t for _, t in packing_plan(counts, 512)) <= np.ceil(bound) + 2
