@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsmetrics.session import checkpoint_folder
+
 # Characters of a piece, and the parts that names are dealt over for patterns
 # which hold no text.
 PIECE_LENGTH = 4
@@ -122,7 +124,9 @@ def matching_patterns(names: DataFrame, patterns: DataFrame) -> DataFrame:
     """(name, group_name), each once, for `names` (name), different and not missing,
     and `patterns` (group_name, pattern)."""
     listed = patterns.select("group_name", "pattern").dropna().distinct()
-    read = listed.select("*", _required_texts("pattern").alias("texts"))
+    checkpoint_folder(patterns.sparkSession)
+    # Used twice below, read once.
+    read = listed.select("*", _required_texts("pattern").alias("texts")).checkpoint()
     texts = read.select("pattern", F.explode("texts").alias("text")).distinct()
     of_text = F.least(F.char_length("text"), F.lit(PIECE_LENGTH))
     text_pieces = (
