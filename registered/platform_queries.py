@@ -416,10 +416,11 @@ NUMBER_PATTERNS = (r"(\d{4,})", r"\D(\d{1,3})\D")
 
 
 def _as_bigint(counters: DataFrame) -> DataFrame:
+    """Texts hold digits of any number: one that BIGINT does not hold is missing, its row stays."""
     return counters.select(
         "doc_id",
-        F.col("used_bytes").cast("bigint").alias("long_number"),
-        F.col("remaining_bytes").cast("bigint").alias("short_number"),
+        F.col("used_bytes").try_cast("bigint").alias("long_number"),
+        F.col("remaining_bytes").try_cast("bigint").alias("short_number"),
     )
 
 
