@@ -53,3 +53,8 @@ def counters_of_long_digits(spark, tmp_path, name):
 def test_document_counters_beyond_bigint(spark, tmp_path):
     found = counters_of_long_digits(spark, tmp_path, "document_counters")
     assert found == [(1, 2**63 - 1, 12), (2, None, 12), (3, None, 12), (4, None, 12)]
+
+
+def test_document_line_counters_beyond_bigint(spark, tmp_path):
+    found = counters_of_long_digits(spark, tmp_path, "document_line_counters")
+    assert found == [(1, 2**63 - 1, 12), (2, None, 12), (3, None, 12), (4, None, 12)]
