@@ -33,8 +33,8 @@ FILLERS = 96
 PARTS = 64
 # Words whose ids a worker keeps, later new ones are encoded each time; and up to how
 # many it also keeps their forms with capitals or a mark, which it else puts together.
-CACHED_WORDS = 700_000
-CACHED_FORMS = 300_000
+CACHED_WORDS = 200_000
+CACHED_FORMS = 100_000
 
 Plan = list[tuple[dict[int, int], int]]
 
@@ -183,6 +183,8 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY)
                 ],
                 ["doc_id", "piece", "start", "length", "ids_crc32", "part"],
             )
+        # Idle workers stay for a minute, beside the stage that follows.
+        pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
         pieces,

@@ -1,3 +1,4 @@
+import sys
 import zlib
 from collections import defaultdict
 
@@ -95,6 +96,15 @@ def test_other_tokenizers_encode_whole_texts(spark):
     check(found, [(r[0], r[1]) for r in rows], Tokenizer.from_file(other), 4096)
 
 
+def test_a_worker_keeps_little_of_many_words():
+    words = WordIds(FILE)
+    for first in range(0, 450_000, 50_000):
+        found = [f"{'abcdefghij'[n % 10]}{n:x}" for n in range(first, first + 50_000)]
+        words.of_texts(pa.array([" ".join(found)]))
+    kept = sum(sys.getsizeof(word) + sys.getsizeof(raw) for word, raw in words.items())
+    assert kept + sys.getsizeof(words) < 50 << 20
+
+
 def test_texts_are_encoded_in_parts():
     rows = awkward()
     pieces = pa.RecordBatch.from_pydict({"text": [r[1] or "" for r in rows]})
