@@ -124,6 +124,9 @@ def scan_report_lines(
         _capture(text, patterns[0]).alias("_used"),
         _capture(text, patterns[1]).alias("_remaining"),
     ).filter(F.col("_used").isNotNull() | F.col("_remaining").isNotNull())
+    # Sorted where they are read: a task is done with its input, which may be
+    # whole texts, before it holds a buffer for each partition of the shuffle.
+    hits = hits.sortWithinPartitions(report_id, "_piece", "_at")
 
     so_far = (
         Window.partitionBy(report_id, "_piece")

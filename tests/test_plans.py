@@ -49,6 +49,12 @@ def test_rows_are_combined_before_the_shuffle(plans, name):
     assert "partial_" in plans[name].split("Exchange")[1]
 
 
+@pytest.mark.parametrize("name", ["report_counters", "document_line_counters", "storage_file_lines"])
+def test_lines_are_read_before_the_shuffle_writes(plans, name):
+    reading = plans[name].split("Exchange hashpartitioning")[-1]
+    assert "Sort [" in reading and "Scan" in reading.split("Sort [")[1]
+
+
 @pytest.mark.parametrize(
     "name", ["recent_events", "latest_per_user", "status_grid_long", "host_state_report"]
 )
